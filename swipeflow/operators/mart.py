@@ -9,7 +9,7 @@ from swipeflow.functions import values
 from swipeflow.operators import events as ev
 from swipeflow.operators import sessions as ss
 from swipeflow.rules import (
-    HIGH, LABEL_HIDDEN_EXIT, LABEL_OPEN_END, LABEL_OPEN_START, LOW, US_PER_HOUR, US_PER_MINUTE, Rules,
+    HIGH, LABEL_HIDDEN_EXIT, LABEL_OPEN_END, LABEL_OPEN_START, LOW, US_PER_HOUR, Rules,
 )
 
 COLUMNS = [
@@ -48,13 +48,13 @@ def presence_mart(events: DataFrame, persons: DataFrame, rules: Rules) -> DataFr
 
     length = F.col("exit_us") - F.col("entry_us")
     if rules.slice_days:
-        minutes = F.round(F.sum(length) / F.lit(float(US_PER_MINUTE)), 1)
-        hours = F.round(F.sum(length) / F.lit(float(US_PER_HOUR)), 2)
+        minutes = ss.minutes_of_us(F.sum(length))
+        hours = ss.half_up(F.sum(length), US_PER_HOUR, 2) / F.lit(100.0)
     else:
-        # Sum of rounded minutes: exact in decimals, whatever the order.
-        rounded = F.sum(ss.minutes_of_us(length).cast("decimal(18,1)"))
-        minutes = rounded.cast("double")
-        hours = F.round(rounded.cast("double") / F.lit(60.0), 2)
+        # These rules add up already rounded minutes.
+        tenths = F.sum(ss.tenth_minutes(length))
+        minutes = tenths / F.lit(10.0)
+        hours = ss.half_up(tenths, 600, 2) / F.lit(100.0)
 
     def any_label(label: str):
         return F.bool_or(F.col("comment") == label)

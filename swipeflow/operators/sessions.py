@@ -224,8 +224,21 @@ def session_spans(events: DataFrame, rules: Rules) -> DataFrame:
     return positive_sessions(_sessions(_with_neighbours(events, rules), rules))
 
 
+def half_up(amount: Column, unit: int, digits: int) -> Column:
+    """``amount / unit`` (whole numbers, not negative) rounded half up to whole 10**-digits steps.
+
+    Stays in long arithmetic, so the half-way cases are exact.
+    """
+    step = unit // 10 ** digits
+    return F.call_function("div", amount + F.lit(step // 2), F.lit(step))
+
+
+def tenth_minutes(us: Column) -> Column:
+    return half_up(us, US_PER_MINUTE, 1)
+
+
 def minutes_of_us(us: Column) -> Column:
-    return F.round(us / F.lit(float(US_PER_MINUTE)), 1)
+    return tenth_minutes(us) / F.lit(10.0)
 
 
 def as_timestamps(spans: DataFrame) -> DataFrame:
