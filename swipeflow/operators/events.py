@@ -6,11 +6,13 @@ import datetime as dt
 import warnings
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swipeflow import schemas
 from swipeflow.functions import times, values
+from swipeflow.rules import ENTRY_CODES, EXIT_CODES
+from swipeflow.session import config_table
 
 
 def zone_table(spark: SparkSession, sites: Mapping[str, Mapping]) -> DataFrame:
@@ -24,7 +26,7 @@ def zone_table(spark: SparkSession, sites: Mapping[str, Mapping]) -> DataFrame:
         zone_of = {name: zone for zone, names in cfg["zones"].items() for name in names}
         kinds = cfg.get("access_point_types", {})
         rows += [(site, name, zone, kinds.get(name)) for name, zone in zone_of.items()]
-    return spark.createDataFrame(rows, schemas.ZONE_MAP)
+    return config_table(spark, rows, schemas.ZONE_MAP)
 
 
 def classify_direction(df: DataFrame, code: str = "transaction_type_id", other: str | None = "other",
@@ -42,27 +44,21 @@ def assign_zone(events: DataFrame, zones: DataFrame) -> DataFrame:
     )
 
 
-def _skip_reason(zone: Column) -> Column:
-    return (
-        F.when(F.col("event_dt").isNull() | F.coalesce(F.col("event_guid"), F.lit("")).eqNullSafe(""),
-               F.lit("no_time_or_id"))
-        .when(values.direction(F.col("transaction_type_id"), None).isNull(), F.lit("unknown_code"))
-        .when(zone.isNull(), F.lit("unmapped_point"))
-    )
-
-
-def _with_zone(events: DataFrame, zones: DataFrame) -> DataFrame:
-    return events.join(zones, ["site_id", "territory_name"], "left")
-
-
 def keep_valid_events(events: DataFrame, zones: DataFrame) -> DataFrame:
-    """Events with a time, an id, a known direction and a mapped point, in the event-table layout."""
-    zoned = _with_zone(events, zones)
+    """Events with a time, an id, a known direction and a mapped point, in the event-table layout.
+
+    The conditions are plain column filters ahead of the zone join, so they reach the scan.
+    """
+    valid = events.filter(
+        F.col("event_dt").isNotNull() & (F.col("event_guid") != "")
+        & F.col("transaction_type_id").isin(*ENTRY_CODES, *EXIT_CODES)
+    )
     return (
-        zoned.filter(_skip_reason(F.col("zone_type")).isNull())
-        .withColumn("direction", values.direction(F.col("transaction_type_id"), None))
-        .withColumn("access_point_type", F.coalesce("access_point_type", F.lit("door")))
-        .withColumn("event_dt_msk", F.col("event_dt"))
+        assign_zone(valid, zones)
+        .withColumns({
+            "direction": values.direction(F.col("transaction_type_id"), None),
+            "event_dt_msk": F.col("event_dt"),
+        })
         .select("site_id", "event_guid", "event_dt", "event_dt_msk", "transaction_type_id", "direction",
                 "person_id", "territory_id", "territory_name", "zone_type", "access_point_type", "card_code")
     )
@@ -70,9 +66,14 @@ def keep_valid_events(events: DataFrame, zones: DataFrame) -> DataFrame:
 
 def count_skipped(events: DataFrame, zones: DataFrame) -> DataFrame:
     """Per site: events kept, and events skipped by the first reason that applies."""
-    reason = _skip_reason(F.col("zone_type"))
+    reason = (
+        F.when(F.col("event_dt").isNull() | F.col("event_guid").isNull() | (F.col("event_guid") == ""),
+               F.lit("no_time_or_id"))
+        .when(values.direction(F.col("transaction_type_id"), None).isNull(), F.lit("unknown_code"))
+        .when(F.col("zone_type").isNull(), F.lit("unmapped_point"))
+    )
     return (
-        _with_zone(events, zones).withColumn("reason", reason)
+        events.join(zones, ["site_id", "territory_name"], "left").withColumn("reason", reason)
         .groupBy("site_id")
         .agg(
             F.count_if(F.col("reason").isNull()).alias("kept"),

@@ -6,19 +6,24 @@ distinct counts and per-person picks run on the collapsed rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swipeflow.functions.times import weekday_label
 
-IN = F.col("is_entry")
-OUT = ~F.col("is_entry")
+
+def _in() -> Column:
+    return F.col("is_entry")
+
+
+def _out() -> Column:
+    return ~F.col("is_entry")
 
 
 def events_summary(events: DataFrame) -> DataFrame:
     """One row: events, entries, exits, distinct persons, days and points, first and last date."""
     collapsed = events.groupBy("person_id", "date", "territory_name").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(IN).alias("n_in"), F.count_if(OUT).alias("n_out")
+        F.count(F.lit(1)).alias("n"), F.count_if(_in()).alias("n_in"), F.count_if(_out()).alias("n_out")
     )
     return collapsed.agg(
         F.sum("n").alias("total_events"),
@@ -35,11 +40,11 @@ def events_summary(events: DataFrame) -> DataFrame:
 def _person_days(events: DataFrame) -> DataFrame:
     """Per person, day and shown name: first entry, last exit, first event, and whether any exists."""
     return events.groupBy("date", "person_id", "person_fullname", "department").agg(
-        F.min(F.when(IN, F.col("event_datetime_local"))).alias("first_entry"),
-        F.max(F.when(OUT, F.col("event_datetime_local"))).alias("last_exit"),
+        F.min(F.when(_in(), F.col("event_datetime_local"))).alias("first_entry"),
+        F.max(F.when(_out(), F.col("event_datetime_local"))).alias("last_exit"),
         F.min("event_datetime").alias("first_event"),
-        F.count_if(IN).alias("n_in"),
-        F.count_if(OUT).alias("n_out"),
+        F.count_if(_in()).alias("n_in"),
+        F.count_if(_out()).alias("n_out"),
     )
 
 
@@ -92,7 +97,7 @@ def entries_without_exit(events: DataFrame) -> DataFrame:
 def by_department(events: DataFrame) -> DataFrame:
     """Entries, distinct persons and days per department; events without department are left out."""
     collapsed = (
-        events.filter(IN & F.col("department").isNotNull())
+        events.filter(_in() & F.col("department").isNotNull())
         .groupBy("department", "person_id", "date")
         .agg(F.count("event_datetime_local").alias("n"))
     )
@@ -108,7 +113,7 @@ def by_territory(events: DataFrame) -> DataFrame:
     return (
         events.filter(F.col("territory_name").isNotNull() & F.col("is_entry").isNotNull())
         .groupBy("territory_name")
-        .agg(F.count_if(IN).alias("entries"), F.count_if(OUT).alias("exits"))
+        .agg(F.count_if(_in()).alias("entries"), F.count_if(_out()).alias("exits"))
         .withColumn("total", F.col("entries") + F.col("exits"))
         .orderBy(F.desc("total"), "territory_name")
     )
@@ -116,7 +121,7 @@ def by_territory(events: DataFrame) -> DataFrame:
 
 def hourly_heatmap(events: DataFrame, wide: bool = False) -> DataFrame:
     """Entries per weekday and hour, long or as a weekday by 24 hours matrix filled with 0."""
-    entries = events.filter(IN & F.col("event_datetime_local").isNotNull())
+    entries = events.filter(_in() & F.col("event_datetime_local").isNotNull())
     if not wide:
         cells = entries.groupBy("weekday_num", "hour").agg(F.count(F.lit(1)).alias("count"))
         return cells.withColumn("weekday", weekday_label(F.col("weekday_num"), unknown="?"))

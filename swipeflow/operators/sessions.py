@@ -27,8 +27,13 @@ from swipeflow.rules import (
 KEY = ["site_id", "person_id", "zone_type"]
 SEGMENT_US = US_PER_HOUR
 
-ENTRY = F.col("direction") == "entry"
-EXIT = F.col("direction") == "exit"
+
+def _entry() -> Column:
+    return F.col("direction") == "entry"
+
+
+def _exit() -> Column:
+    return F.col("direction") == "exit"
 
 
 def _swipes(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -41,7 +46,7 @@ def _swipes(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def _pos(us: Column) -> Column:
     """Order of swipes in time; an exit goes before an entry of the same instant."""
-    return us * 2 + F.when(EXIT, 0).otherwise(1)
+    return us * 2 + F.when(_exit(), 0).otherwise(1)
 
 
 def _cell(rules: Rules) -> Column:
@@ -55,10 +60,10 @@ def _first_of_cell(cells: DataFrame, rules: Rules) -> DataFrame:
     marked = (
         cells.repartition("site_id", "person_id")
         .withColumn("pos", _pos(F.col("us")))
-        .withColumn("last_in", F.last(F.when(ENTRY, F.col("last_us")), ignorenulls=True).over(before))
-        .withColumn("last_out", F.last(F.when(EXIT, F.col("last_us")), ignorenulls=True).over(before))
+        .withColumn("last_in", F.last(F.when(_entry(), F.col("last_us")), ignorenulls=True).over(before))
+        .withColumn("last_out", F.last(F.when(_exit(), F.col("last_us")), ignorenulls=True).over(before))
     )
-    previous = F.when(ENTRY, F.col("last_in")).otherwise(F.col("last_out"))
+    previous = F.when(_entry(), F.col("last_in")).otherwise(F.col("last_out"))
     fresh = previous.isNull() | (F.col("us") - previous >= F.lit(rules.dup_us))
     return marked.filter(fresh).drop("last_in", "last_out", "last_us")
 
@@ -107,8 +112,8 @@ def _neighbours_of_distinct(swipes: DataFrame) -> DataFrame:
         "*",
         _lead("CASE WHEN direction = 'exit' THEN us END").alias("next_exit"),
         _lead("CASE WHEN direction = 'entry' THEN us END").alias("next_entry"),
-        F.last(F.when(ENTRY, F.col("us")), ignorenulls=True).over(before).alias("prev_entry"),
-        F.last(F.when(EXIT, F.col("us")), ignorenulls=True).over(before).alias("prev_exit"),
+        F.last(F.when(_entry(), F.col("us")), ignorenulls=True).over(before).alias("prev_entry"),
+        F.last(F.when(_exit(), F.col("us")), ignorenulls=True).over(before).alias("prev_exit"),
     )
 
 
@@ -127,13 +132,13 @@ def _neighbours(swipes: DataFrame) -> DataFrame:
         "*",
         F.expr(lead.format("exit")).alias("next_exit"),
         F.expr(lead.format("entry")).alias("next_entry_row"),
-        F.max(F.when(ENTRY, F.col("us"))).over(earlier).alias("prev_entry"),
-        F.max(F.when(EXIT, F.col("us"))).over(earlier).alias("prev_exit"),
+        F.max(F.when(_entry(), F.col("us"))).over(earlier).alias("prev_entry"),
+        F.max(F.when(_exit(), F.col("us"))).over(earlier).alias("prev_exit"),
     )
     summary = rows.groupBy(*part).agg(
-        F.min(F.when(EXIT, F.col("us"))).alias("first_exit"),
-        F.max(F.when(ENTRY, F.col("us"))).alias("last_entry"),
-        F.max(F.when(EXIT, F.col("us"))).alias("last_exit"),
+        F.min(F.when(_exit(), F.col("us"))).alias("first_exit"),
+        F.max(F.when(_entry(), F.col("us"))).alias("last_entry"),
+        F.max(F.when(_exit(), F.col("us"))).alias("last_exit"),
     )
     over = f"OVER (PARTITION BY {', '.join(KEY)} ORDER BY segment)"
     carry = summary.select(
@@ -163,15 +168,15 @@ def _is_orphan(rules: Rules) -> Column:
     """An exit that no entry explains."""
     none_before = F.col("prev_entry").isNull()
     if rules.orphan == "window":
-        return EXIT & (none_before | (F.col("prev_entry") < F.col("us") - rules.max_us))
+        return _exit() & (none_before | (F.col("prev_entry") < F.col("us") - rules.max_us))
     day_start = times.day_floor_us(F.col("us"), rules.tz_hours, rules.day_start_hour)
     none_that_day = none_before | (F.col("prev_entry") < day_start)
     if rules.orphan == "day":
-        return EXIT & none_that_day
+        return _exit() & none_that_day
     ends_a_session = F.col("prev_entry").isNotNull() & (
         F.col("prev_exit").isNull() | (F.col("prev_entry") >= F.col("prev_exit"))
     )
-    return EXIT & none_that_day & ~ends_a_session
+    return _exit() & none_that_day & ~ends_a_session
 
 
 def _sessions(swipes: DataFrame, rules: Rules) -> DataFrame:
@@ -188,17 +193,17 @@ def _sessions(swipes: DataFrame, rules: Rules) -> DataFrame:
         next_entry = F.lit(None).cast("long")
     fallback = us + rules.max_us if rules.close == "timeout" else day_start + (US_PER_DAY - US_PER_SECOND)
 
-    real = ENTRY & next_exit.isNotNull() & (next_entry.isNull() | (next_exit <= next_entry))
-    hidden = ENTRY & ~real & next_entry.isNotNull()
+    real = _entry() & next_exit.isNotNull() & (next_entry.isNull() | (next_exit <= next_entry))
+    hidden = _entry() & ~real & next_entry.isNotNull()
     return (
-        swipes.filter(ENTRY | _is_orphan(rules))
+        swipes.filter(_entry() | _is_orphan(rules))
         .select(
             *KEY,
             times.day_of_us(us, rules.tz_hours, rules.day_start_hour).alias("session_date"),
-            F.when(EXIT, day_start).otherwise(us).alias("entry_us"),
-            F.when(EXIT, us).when(real, next_exit).when(hidden, next_entry - US_PER_SECOND)
+            F.when(_exit(), day_start).otherwise(us).alias("entry_us"),
+            F.when(_exit(), us).when(real, next_exit).when(hidden, next_entry - US_PER_SECOND)
             .otherwise(fallback).alias("exit_us"),
-            F.when(EXIT, F.lit(LABEL_OPEN_START)).when(real, F.lit(None)).when(hidden, F.lit(LABEL_HIDDEN_EXIT))
+            F.when(_exit(), F.lit(LABEL_OPEN_START)).when(real, F.lit(None)).when(hidden, F.lit(LABEL_HIDDEN_EXIT))
             .otherwise(F.lit(LABEL_OPEN_END)).alias("comment"),
             F.when(real, F.lit(HIGH)).otherwise(F.lit(LOW)).alias("confidence"),
         )
@@ -211,12 +216,12 @@ def positive_sessions(df: DataFrame, start: str = "entry_us", end: str = "exit_u
 
 def pair_sessions(events: DataFrame, rules: Rules) -> DataFrame:
     """Sessions that start with an entry (times in microseconds)."""
-    return _sessions(_with_neighbours(events, rules).filter(ENTRY), rules)
+    return _sessions(_with_neighbours(events, rules).filter(_entry()), rules)
 
 
 def orphan_exits(events: DataFrame, rules: Rules) -> DataFrame:
     """Sessions of exits without an entry, opened at the start of the exit's day."""
-    return _sessions(_with_neighbours(events, rules).filter(EXIT), rules)
+    return _sessions(_with_neighbours(events, rules).filter(_exit()), rules)
 
 
 def session_spans(events: DataFrame, rules: Rules) -> DataFrame:

@@ -14,6 +14,7 @@ from swipeflow import schemas
 from swipeflow.functions import times, values
 from swipeflow.operators.events import join_dim, zone_table
 from swipeflow.rules import Rules
+from swipeflow.session import config_table
 
 PERIOD = (dt.date(2024, 1, 5), dt.date(2024, 1, 25))
 CURRENT = Rules(period=PERIOD)
@@ -39,6 +40,11 @@ TYPES = (
 )
 
 
+SITE = "CASE WHEN {} % 2 = 0 THEN 'site_a' ELSE 'site_b' END AS site_id"
+SOURCE = "CASE WHEN {} % 2 = 0 THEN 'msk' ELSE 'spb' END AS source_id"
+GUID = "concat('00000000-0000-4000-{}-', lpad(CAST({} AS STRING), 12, '0'))"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -47,10 +53,6 @@ def guid(kind: str, number: Column) -> Column:
     return F.concat(F.lit(f"00000000-0000-4000-{kind}-"), F.lpad(number.cast("string"), 12, "0"))
 
 
-def site(number: Column) -> Column:
-    return F.when(number % 2 == 0, F.lit("site_a")).otherwise(F.lit("site_b"))
-
-
 def source(number: Column) -> Column:
     return F.when(number % 2 == 0, F.lit("msk")).otherwise(F.lit("spb"))
 
@@ -65,21 +67,17 @@ def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shape_events(raw: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    code = F.lit(None).cast("int")
-    for name, number in CODES.items():
-        code = F.when(F.col("event_type") == name, F.lit(number)).otherwise(code)
-    user = F.col("user_id")
-    return raw.select(
-        site(user).alias("site_id"),
-        source(user).alias("source_id"),
-        guid("8000", F.col("event_id")).alias("event_guid"),
-        F.col("ts").cast("timestamp").alias("event_dt"),
-        code.alias("transaction_type_id"),
-        F.when(k != 13, guid("9000", user)).alias("person_id"),
-        guid("a300", k % 10).alias("territory_id"),
-        F.when(k >= 97, F.lit("unmapped")).otherwise(F.concat(F.lit("point-"), k % 12)).alias("territory_name"),
-        F.lpad(user.cast("string"), 8, "0").alias("card_code"),
+    codes = " ".join(f"WHEN '{name}' THEN {code}" for name, code in CODES.items())
+    return raw.selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k").selectExpr(
+        SITE.format("user_id"),
+        SOURCE.format("user_id"),
+        GUID.format("8000", "event_id") + " AS event_guid",
+        "CAST(ts AS TIMESTAMP) AS event_dt",
+        f"CASE event_type {codes} END AS transaction_type_id",
+        f"CASE WHEN k <> 13 THEN {GUID.format('9000', 'user_id')} END AS person_id",
+        GUID.format("a300", "k % 10") + " AS territory_id",
+        "CASE WHEN k >= 97 THEN 'unmapped' ELSE concat('point-', k % 12) END AS territory_name",
+        "lpad(CAST(user_id AS STRING), 8, '0') AS card_code",
     )
 
 
@@ -93,31 +91,28 @@ def star_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persons of both layouts."""
-    nations = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("department_name")
-    )
-    key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").join(nations, "c_nationkey", "left").select(
-        site(key).alias("site_id"),
-        source(key).alias("source_id"),
-        guid("9000", key).alias("person_id"),
-        F.col("c_name").alias("last_name"),
-        F.col("c_mktsegment").alias("first_name"),
-        F.when(key % 4 != 0, F.concat(F.lit("M"), (key % 7).cast("string"))).alias("middle_name"),
-        F.when(key % 10 >= 8, F.lit("")).otherwise(F.floor(key / 2).cast("string")).alias("tab_number"),
-        guid("a200", F.col("c_nationkey")).alias("org_id"),
+    nations = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name AS department_name")
+    return table(spark, sf_dir, "customer").join(nations, "c_nationkey", "left").selectExpr(
+        SITE.format("c_custkey"),
+        SOURCE.format("c_custkey"),
+        GUID.format("9000", "c_custkey") + " AS person_id",
+        "c_name AS last_name",
+        "c_mktsegment AS first_name",
+        "CASE WHEN c_custkey % 4 <> 0 THEN concat('M', c_custkey % 7) END AS middle_name",
+        "CASE WHEN c_custkey % 10 >= 8 THEN '' ELSE CAST(c_custkey DIV 2 AS STRING) END AS tab_number",
+        GUID.format("a200", "c_nationkey") + " AS org_id",
         "department_name",
-        F.lit(None).cast("string").alias("canonical_person_id"),
+        "CAST(NULL AS STRING) AS canonical_person_id",
     )
 
 
 def sources(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("msk", "Москва", "host-1"), ("spb", "Петербург", "host-2")],
-                                 "source_id string, city string, host_addr string")
+    return config_table(spark, [("msk", "Москва", "host-1"), ("spb", "Петербург", "host-2")],
+                        "source_id string, city string, host_addr string")
 
 
 def types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(TYPES), schemas.DIM_TRANSACTION_TYPES)
+    return config_table(spark, TYPES, schemas.DIM_TRANSACTION_TYPES)
 
 
 def _both_sources(df: DataFrame) -> DataFrame:

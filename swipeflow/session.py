@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "swipeflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,3 +37,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="swipeflow-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/swipeflow/{name}-{uuid.uuid4().hex}"
+
+
+def config_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A table of configuration values, as a local relation.
+
+    Its exact size is part of the plan, so Spark broadcasts it on that ground
+    (a table built from plain rows has no known size and would be shuffled).
+    """
+    names = [field.split()[0] for field in schema.split(", ")]
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(names, row)) for row in rows]), schema)
