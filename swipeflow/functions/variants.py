@@ -6,14 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def json_type_label(value: Column, depth: int = 4) -> Column:
+def json_type_label(value: Column, kind: Column | None = None, depth: int = 4) -> Column:
     """null / bool / int / float / str / list[..] / dict{keys}.
 
+    ``kind`` is ``schema_of_variant(value)`` where the caller has it as a column;
     ``depth`` bounds how many nested lists are named by their first element.
     """
-    kind = F.schema_of_variant(value)
+    kind = F.schema_of_variant(value) if kind is None else kind
     first = F.try_variant_get(value, "$[0]", "variant")
-    inner = json_type_label(first, depth - 1) if depth else F.lit("list")
+    inner = json_type_label(first, depth=depth - 1) if depth else F.lit("list")
     keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
     return (
         F.when(value.isNull() | (kind == "VOID"), F.lit("null"))
@@ -28,11 +29,6 @@ def json_type_label(value: Column, depth: int = 4) -> Column:
     )
 
 
-def is_filled(value: Column) -> Column:
-    """False for a missing field and for a JSON null."""
-    return value.isNotNull() & (F.schema_of_variant(value) != "VOID")
-
-
 def json_text(value: Column, cut: int = 120) -> Column:
     """JSON text, cut to ``cut`` characters and an ellipsis."""
     return cut_text(F.to_json(value), cut)

@@ -120,9 +120,13 @@ def scan_history(events: DataFrame, date_from: dt.datetime, date_to: dt.datetime
                  limit: int | None = None) -> DataFrame:
     """Events of a time range (both ends included) with optional code, point, unit and person sets.
 
-    All predicates are plain column filters, so they reach the file scan.
+    All predicates are plain column filters, so they reach the file scan; a
+    table partitioned by month is pruned to the months of the range.
     """
     out = events.filter(F.col("event_dt").between(F.lit(date_from), F.lit(date_to)))
+    if "month" in events.columns:
+        first, last = (F.date_format(F.lit(at), "yyyy-MM") for at in (date_from, date_to))
+        out = out.filter(F.col("month").between(first, last))
     for col, wanted in (("transaction_type_id", types), ("territory_id", territories),
                         ("org_id", orgs), ("person_id", persons)):
         if wanted is not None:

@@ -26,11 +26,14 @@ def json_field_profile(records: DataFrame, col: str = "record", pos: str = "pos"
     bounds the width of what is shuffled; picking the first few per key uses
     Spark's per-partition rank limit, so no key gathers all its values.
     """
-    text = F.to_json("value")
-    filled = _fields(records, col, pos).select(
+    text = F.col("text")
+    typed = _fields(records, col, pos).select(
+        "field", "pos", "value", F.schema_of_variant("value").alias("kind"), F.to_json("value").alias("text")
+    )
+    filled = typed.select(
         "field", "pos",
-        F.when(variants.is_filled(F.col("value")), F.lit(1)).alias("filled"),
-        variants.json_type_label(F.col("value")).alias("label"),
+        F.when(F.col("kind") != "VOID", F.lit(1)).alias("filled"),
+        variants.json_type_label(F.col("value"), F.col("kind")).alias("label"),
         variants.cut_text(text, cut).alias("shown"),
         F.when(F.length(text) > cut, F.sha2(text, 256)).alias("digest"),
     )
@@ -41,11 +44,8 @@ def json_field_profile(records: DataFrame, col: str = "record", pos: str = "pos"
         F.coalesce(F.sum(F.when(F.col("filled") == 1, F.col("n"))), F.lit(0)).alias("n_filled")
     )
     by_pos = Window.partitionBy("field").orderBy("pos")
-    # One value text can carry two labels (a number read as int or float), so texts are made unique first.
-    unique = distinct.filter(F.col("filled") == 1).groupBy("field", "shown", "digest").agg(
-        F.min(F.struct("pos", "label")).alias("first")
-    ).select("field", "shown", F.col("first.pos").alias("pos"), F.col("first.label").alias("label"))
-    ranked = unique.withColumn("rn", F.row_number().over(by_pos)).filter(F.col("rn") <= examples)
+    ranked = distinct.filter(F.col("filled") == 1).withColumn("rn", F.row_number().over(by_pos)).filter(
+        F.col("rn") <= examples)
     shown = ranked.groupBy("field").agg(
         F.max(F.when(F.col("rn") == 1, F.col("label"))).alias("type"),
         *[F.max(F.when(F.col("rn") == i, F.col("shown"))).alias(f"example_{i}") for i in range(1, examples + 1)],

@@ -55,12 +55,11 @@ def unpublished_parents(subs: DataFrame, vacancies: DataFrame) -> DataFrame:
 
 def form_share(candidates: DataFrame) -> DataFrame:
     """Share of candidates with a filled evaluation form, percent."""
-    share = F.round(F.lit(100.0) * F.count_if(F.col("form_filled")) / F.nullif(F.count(F.lit(1)), F.lit(0)), 2)
-    return candidates.agg(share.alias("value"))
+    return candidate_values(candidates).select(F.col("form_share").alias("value"))
 
 
 def no_consent(candidates: DataFrame) -> DataFrame:
-    return _count(candidates.filter(~F.col("consent")))
+    return candidate_values(candidates).select(F.col("no_consent").cast("double").alias("value"))
 
 
 def _staged(applications: DataFrame, stage: str) -> DataFrame:
@@ -107,6 +106,58 @@ DEFAULT_CUTOFFS: dict[str, tuple[float, float]] = {
 }
 
 
+SECTIONS = {
+    "no_recruiter": "vacancy", "idle_subs": "vacancy", "orphan_subs": "vacancy", "unpublished_parents": "vacancy",
+    "form_share": "candidate", "no_consent": "candidate", "accepted_not_closed": "application",
+    "unassigned_inactive": "application", "stuck_candidates": "application",
+}
+
+
+def entity_values(vacancies: DataFrame, subs: DataFrame, applications: DataFrame,
+                  as_of: dt.date | Column) -> DataFrame:
+    """One row with every vacancy and application rule; each input is read once.
+
+    Subs and applications shrink to one row per vacancy, meet the vacancies in
+    full outer joins, and a single aggregation reads all rules off the result.
+    """
+    per_parent = subs.groupBy(F.col("parent_id").alias("vacancy_id")).agg(
+        F.count(F.lit(1)).alias("n_subs"),
+        F.count_if(F.date_diff(_as_of(as_of), F.col("last_activity")) > IDLE_SUB_DAYS).alias("n_idle"),
+        F.bool_or(~F.col("published")).alias("unpublished"),
+    )
+    per_pair = applications.groupBy("vacancy_id", "candidate_id").agg(
+        F.max("moved_at").alias("moved_at"),
+        F.count_if(F.col("stage") == "accepted").alias("accepted"),
+        F.count_if(F.col("stage") == "unassigned").alias("unassigned"),
+    )
+    per_vacancy = per_pair.groupBy("vacancy_id").agg(
+        F.sum("accepted").alias("accepted"),
+        F.sum("unassigned").alias("unassigned"),
+        F.count_if(F.date_diff(_as_of(as_of), F.col("moved_at")) > STUCK_DAYS).alias("stuck"),
+    )
+    known = vacancies.select("vacancy_id", "recruiter", "status", F.lit(True).alias("known"))
+    whole = known.join(per_parent, "vacancy_id", "full_outer").join(per_vacancy, "vacancy_id", "full_outer")
+
+    def total(n: str, where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, F.col(n))), F.lit(0))
+
+    return whole.agg(
+        F.count_if(F.col("known") & F.col("recruiter").isNull()).alias("no_recruiter"),
+        total("n_idle", F.lit(True)).alias("idle_subs"),
+        total("n_subs", F.col("known").isNull()).alias("orphan_subs"),
+        F.count_if(F.col("known") & F.col("unpublished")).alias("unpublished_parents"),
+        total("accepted", F.col("status") != "closed").alias("accepted_not_closed"),
+        total("unassigned", ~F.col("status").isin(*OPEN_STATUSES)).alias("unassigned_inactive"),
+        total("stuck", F.col("vacancy_id").isNotNull() & F.col("n_subs").isNotNull()).alias("stuck_candidates"),
+    )
+
+
+def candidate_values(candidates: DataFrame) -> DataFrame:
+    """One row with every candidate rule."""
+    share = F.lit(100.0) * F.count_if(F.col("form_filled")) / F.nullif(F.count(F.lit(1)), F.lit(0))
+    return candidates.agg(F.round(share, 2).alias("form_share"), F.count_if(~F.col("consent")).alias("no_consent"))
+
+
 def filter_scope(vacancies: DataFrame, subs: DataFrame, applications: DataFrame, recruiter: str | None = None,
                  statuses: Sequence[str] | None = None, period: tuple[dt.date, dt.date] | None = None,
                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -134,22 +185,12 @@ def dashboard(vacancies: DataFrame, subs: DataFrame, candidates: DataFrame, appl
               cutoffs: Mapping[str, tuple[float, float]] = DEFAULT_CUTOFFS) -> DataFrame:
     """All rules as one table: section, rule, value, severity."""
     vac, sub, app = filter_scope(vacancies, subs, applications, recruiter, statuses, period)
-    rules = (
-        ("vacancy", "no_recruiter", no_recruiter(vac)),
-        ("vacancy", "idle_subs", idle_subs(sub, as_of)),
-        ("vacancy", "orphan_subs", orphan_subs(sub, vac)),
-        ("vacancy", "unpublished_parents", unpublished_parents(sub, vac)),
-        ("candidate", "form_share", form_share(candidates)),
-        ("candidate", "no_consent", no_consent(candidates)),
-        ("application", "accepted_not_closed", accepted_not_closed(app, vac)),
-        ("application", "unassigned_inactive", unassigned_inactive(app, vac)),
-        ("application", "stuck_candidates", stuck_candidates(app, sub, as_of)),
-    )
-    out = None
-    for section, rule, result in rules:
-        row = result.select(
-            F.lit(section).alias("section"), F.lit(rule).alias("rule"), "value",
-            severity(F.col("value"), cutoffs[rule], low_is_bad=rule == "form_share").alias("severity"),
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    people = candidate_values(candidates)
+    values = entity_values(vac, sub, app, as_of).withColumns(
+        {rule: people.select(rule).scalar() for rule in ("form_share", "no_consent")})
+    rows = [
+        F.struct(F.lit(section).alias("section"), F.lit(rule).alias("rule"), F.col(rule).cast("double").alias("value"),
+                 severity(F.col(rule), cutoffs[rule], low_is_bad=rule == "form_share").alias("severity"))
+        for rule, section in SECTIONS.items()
+    ]
+    return values.select(F.inline(F.array(*rows)))

@@ -38,14 +38,30 @@ def events_summary(events: DataFrame) -> DataFrame:
 
 
 def _person_days(events: DataFrame) -> DataFrame:
-    """Per person, day and shown name: first entry, last exit, first event, and whether any exists."""
-    return events.groupBy("date", "person_id", "person_fullname", "department").agg(
+    """One row per person and day: first entry, last exit, counts, and the name and department
+    of the first event (``seen``) and of the first entry (``entered``).
+
+    The first grouping also holds the shown name, so that its buffers are plain
+    values and it runs as a hash aggregation; the second picks among few names.
+    """
+    named = events.groupBy("date", "person_id", "person_fullname", "department").agg(
         F.min(F.when(_in(), F.col("event_datetime_local"))).alias("first_entry"),
         F.max(F.when(_out(), F.col("event_datetime_local"))).alias("last_exit"),
         F.min("event_datetime").alias("first_event"),
         F.count_if(_in()).alias("n_in"),
         F.count_if(_out()).alias("n_out"),
     )
+    far = F.lit("9999-12-31").cast("timestamp")
+    first_seen = F.struct(F.coalesce("first_event", far).alias("ts"), "person_fullname", "department")
+    first_in = F.struct(F.coalesce("first_entry", far).alias("ts"), "person_fullname", "department")
+    return named.groupBy("date", "person_id").agg(
+        F.min("first_entry").alias("first_entry"),
+        F.max("last_exit").alias("last_exit"),
+        F.sum("n_in").alias("n_in"),
+        F.sum("n_out").alias("n_out"),
+        F.min(first_seen).alias("seen"),
+        F.min(F.when(F.col("n_in") > 0, first_in)).alias("entered"),
+    )
 
 
 def daily_attendance(events: DataFrame) -> DataFrame:
@@ -53,24 +69,17 @@ def daily_attendance(events: DataFrame) -> DataFrame:
 
     Hours are NULL when one side is missing and may be negative.
     """
-    # A person has at most one row per day and shown name here, so the window stays small.
-    by_time = Window.partitionBy("person_id").orderBy(
-        F.col("first_event").asc_nulls_last(), "person_fullname", "department"
-    )
-    named = _person_days(events.filter(F.col("person_id").isNotNull())).withColumns({
-        "meta_name": F.first("person_fullname").over(by_time),
-        "meta_department": F.first("department").over(by_time),
-    })
-    daily = (
-        named.filter(F.col("date").isNotNull() & ((F.col("n_in") > 0) | (F.col("n_out") > 0)))
-        .groupBy("person_id", "date", "meta_name", "meta_department")
-        .agg(F.min("first_entry").alias("first_entry"), F.max("last_exit").alias("last_exit"))
-    )
+    days = _person_days(events.filter(F.col("person_id").isNotNull()))
+    # A person has one row per day here, so the window is bounded by the length of the history.
+    meta = F.min("seen").over(Window.partitionBy("person_id"))
     seconds = (F.unix_micros("last_exit") - F.unix_micros("first_entry")) / F.lit(3.6e9)
-    return daily.select(
-        "date", "person_id", "first_entry", "last_exit",
-        F.col("meta_name").alias("person_fullname"), F.col("meta_department").alias("department"),
-        F.round(seconds, 2).alias("time_on_site_h"),
+    return (
+        days.withColumn("meta", meta)
+        .filter(F.col("date").isNotNull() & ((F.col("n_in") > 0) | (F.col("n_out") > 0)))
+        .select(
+            "date", "person_id", "first_entry", "last_exit", "meta.person_fullname", "meta.department",
+            F.round(seconds, 2).alias("time_on_site_h"),
+        )
     )
 
 
@@ -83,13 +92,10 @@ def entries_without_exit(events: DataFrame) -> DataFrame:
 
     Entries and exits of a person-day meet in one grouping, so no join is needed.
     """
-    first = F.min(F.when(F.col("n_in") > 0, F.struct("first_entry", "person_fullname", "department")))
-    days = _person_days(events).groupBy("date", "person_id").agg(
-        first.alias("entry"), F.sum("n_out").alias("exits")
-    )
     return (
-        days.filter(F.col("entry").isNotNull() & (F.col("exits") == 0))
-        .select("date", "person_id", "entry.person_fullname", "entry.department")
+        _person_days(events)
+        .filter((F.col("n_in") > 0) & (F.col("n_out") == 0))
+        .select("date", "person_id", "entered.person_fullname", "entered.department")
         .orderBy("date", F.col("department").asc_nulls_last(), "person_id")
     )
 

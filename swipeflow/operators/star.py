@@ -97,7 +97,11 @@ def _numbered(persons: DataFrame, source: str) -> DataFrame:
 
 
 def match_identities(persons: DataFrame, src_a: str, src_b: str) -> DataFrame:
-    """Persons of two sources with the same non-empty number."""
+    """Persons of two sources with the same non-empty number.
+
+    A number held by several persons of both sources gives every pairing, as
+    the result asks for; ``apply_identities`` works without building them.
+    """
     a = _numbered(persons, src_a).select(
         "tab_number", F.col("person_id").alias("pid_a"), "last_name", "first_name"
     )

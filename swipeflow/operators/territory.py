@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swipeflow.functions import values
+from swipeflow.session import shared_folder
 
 
 def describe_territories(territories: DataFrame) -> DataFrame:
@@ -43,6 +44,7 @@ def territory_paths(territories: DataFrame, full: bool = False, separator: str =
     if not full:
         return one_level.drop("_up")
 
+    shared_folder(territories.sparkSession)
     base = one_level.withColumn("_path", F.col("full_path")).select(
         "source_id", "id", "_path", F.when(F.col("parent_name").isNotNull(), F.col("_up")).alias("_up")
     ).checkpoint()

@@ -25,10 +25,10 @@ def build_session(app: str = "swipeflow", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in spark.checkpoint.dir; also makes it the checkpoint folder.
 
-    Only a local-mode session may fall back to a folder of this machine.
+    Only a local-mode session without that setting falls back to a folder of this machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -36,7 +36,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="swipeflow-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/swipeflow/{name}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_folder(spark)}/swipeflow/{name}-{uuid.uuid4().hex}"
 
 
 def config_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:

@@ -36,6 +36,20 @@ def export(tables: Mapping[str, DataFrame], path: str, fmt: str = "csv") -> None
             raise ValueError("fmt must be csv or parquet")
 
 
+def write_events(events: DataFrame, path: str, files_per_month: int = 8, mode: str = "errorifexists") -> None:
+    """Event table as parquet by source and month, so that time-range scans read only their months.
+
+    Rows are spread over ``files_per_month`` tasks per folder: one source with
+    most of the events is not written by a single task.
+    """
+    spread = F.pmod(F.xxhash64("event_guid"), F.lit(files_per_month))
+    (
+        events.withColumn("month", F.date_format("event_dt", "yyyy-MM"))
+        .repartition("source_id", "month", spread)
+        .write.mode(mode).partitionBy("source_id", "month").parquet(path)
+    )
+
+
 def read_json_pages(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """Records (as VARIANT ``record``) of landed ``{"data": [...]}`` pages, one page per line."""
     pages = spark.read.text(path).select(F.try_parse_json("value").alias("page"))

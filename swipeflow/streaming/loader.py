@@ -14,7 +14,9 @@ def stream_load(stream: DataFrame, watermark: str = "25 hours", key: Sequence[st
     """Events once per key, late ones accepted up to ``watermark`` behind the newest.
 
     State is kept for the watermark only. Input that is not roughly in time
-    order (a backfill) belongs to ``start_insert_ignore``, which has no lateness limit.
+    order (a backfill), or in which one event may be repeated very often,
+    belongs to ``start_insert_ignore``: it has no lateness limit, and collapses
+    copies before they are shuffled.
     """
     return stream.withWatermark("event_dt", watermark).dropDuplicatesWithinWatermark(list(key))
 

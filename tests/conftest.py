@@ -21,9 +21,5 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.sparkContext.getCheckpointDir():
-        import tempfile
-
-        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tests-"))
     yield session
     session.stop()
