@@ -26,19 +26,19 @@ def build_session(app: str = "swipeflow", master: str | None = None, **conf: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; also makes it the checkpoint folder.
+    """The folder the cluster names in spark.checkpoint.dir, also set as the checkpoint folder.
 
     Only a local-mode session without that setting falls back to a folder of this machine.
     """
+    context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
+    if not base and not context.getCheckpointDir():
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="swipeflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(base)
+    return (base or context.getCheckpointDir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
