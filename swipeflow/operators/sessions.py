@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 
 from swipeflow.functions import times
 from swipeflow.rules import (
-    HIGH, LABEL_HIDDEN_EXIT, LABEL_OPEN_END, LABEL_OPEN_START, LOW, US_PER_DAY, US_PER_HOUR,
+    HIGH, LABEL_HIDDEN_EXIT, LABEL_OPEN_END, LABEL_OPEN_START, LOW, US_PER_DAY,
     US_PER_MINUTE, US_PER_SECOND, Rules,
 )
 
 KEY = ["site_id", "person_id", "zone_type"]
-SEGMENT_US = US_PER_HOUR
+# Windows sort by a hash of the key first: most comparisons end at one long instead of three texts.
+SORT_KEY = ["key_hash", *KEY]
+SEGMENT_US = 5 * US_PER_MINUTE
 
 
 def _entry() -> Column:
@@ -53,15 +55,24 @@ def _cell(rules: Rules) -> Column:
     return F.col("us") - F.pmod(F.col("us"), F.lit(rules.dup_us))
 
 
+def _near(way: str, direction: str, value: str = "us", keys: list[str] = SORT_KEY) -> Column:
+    """``value`` of the nearest swipe of one direction before (lag) or after (lead) each row."""
+    return F.expr(
+        f"{way}(CASE WHEN direction = '{direction}' THEN {value} END) IGNORE NULLS "
+        f"OVER (PARTITION BY {', '.join(keys)} ORDER BY pos)"
+    )
+
+
 def _first_of_cell(cells: DataFrame, rules: Rules) -> DataFrame:
     """Of per-cell first/last swipes, the firsts that do not repeat an earlier swipe."""
-    before = Window.partitionBy(*KEY).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     # One exchange on the person serves the windows, the mart and the person join.
     marked = (
         cells.repartition("site_id", "person_id")
-        .withColumn("pos", _pos(F.col("us")))
-        .withColumn("last_in", F.last(F.when(_entry(), F.col("last_us")), ignorenulls=True).over(before))
-        .withColumn("last_out", F.last(F.when(_exit(), F.col("last_us")), ignorenulls=True).over(before))
+        .withColumns({"key_hash": F.xxhash64(*KEY), "pos": _pos(F.col("us"))})
+        .withColumns({
+            "last_in": _near("lag", "entry", "last_us"),
+            "last_out": _near("lag", "exit", "last_us"),
+        })
     )
     previous = F.when(_entry(), F.col("last_in")).otherwise(F.col("last_out"))
     fresh = previous.isNull() | (F.col("us") - previous >= F.lit(rules.dup_us))
@@ -101,53 +112,43 @@ def _distinct_swipes(events: DataFrame, rules: Rules) -> DataFrame:
     return _first_of_cell(cells, rules)
 
 
-def _lead(expr: str) -> Column:
-    return F.expr(f"lead({expr}) IGNORE NULLS OVER (PARTITION BY {', '.join(KEY)} ORDER BY pos)")
-
-
 def _neighbours_of_distinct(swipes: DataFrame) -> DataFrame:
     """Nearest swipes around each deduplicated swipe: one partition per person and zone, one sort."""
-    before = Window.partitionBy(*KEY).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return swipes.select(
-        "*",
-        _lead("CASE WHEN direction = 'exit' THEN us END").alias("next_exit"),
-        _lead("CASE WHEN direction = 'entry' THEN us END").alias("next_entry"),
-        F.last(F.when(_entry(), F.col("us")), ignorenulls=True).over(before).alias("prev_entry"),
-        F.last(F.when(_exit(), F.col("us")), ignorenulls=True).over(before).alias("prev_exit"),
-    )
+    return swipes.withColumns({
+        "next_exit": _near("lead", "exit"),
+        "next_entry": _near("lead", "entry"),
+        "prev_entry": _near("lag", "entry"),
+        "prev_exit": _near("lag", "exit"),
+    })
 
 
 def _neighbours(swipes: DataFrame) -> DataFrame:
     """Nearest swipes strictly before and after each swipe, history cut into segments."""
-    part = [*KEY, "segment"]
-    rows = (
-        swipes.withColumn("pos", _pos(F.col("us")))
-        .withColumn("segment", F.col("us") - F.pmod(F.col("us"), F.lit(SEGMENT_US)))
-        .repartition(*part)
-    )
+    part = [*SORT_KEY, "segment"]
+    rows = swipes.withColumns({
+        "key_hash": F.xxhash64(*KEY),
+        "pos": _pos(F.col("us")),
+        "segment": F.col("us") - F.pmod(F.col("us"), F.lit(SEGMENT_US)),
+    }).repartition(*part)
     earlier = Window.partitionBy(*part).orderBy("pos").rangeBetween(Window.unboundedPreceding, -1)
-    lead = "lead(CASE WHEN direction = '{}' THEN us END) IGNORE NULLS OVER (PARTITION BY " \
-        + ", ".join(part) + " ORDER BY pos)"
-    near = rows.select(
-        "*",
-        F.expr(lead.format("exit")).alias("next_exit"),
-        F.expr(lead.format("entry")).alias("next_entry_row"),
-        F.max(F.when(_entry(), F.col("us"))).over(earlier).alias("prev_entry"),
-        F.max(F.when(_exit(), F.col("us"))).over(earlier).alias("prev_exit"),
-    )
+    near = rows.withColumns({
+        "next_exit": _near("lead", "exit", keys=part),
+        "prev_entry": F.max(F.when(_entry(), F.col("us"))).over(earlier),
+        "prev_exit": F.max(F.when(_exit(), F.col("us"))).over(earlier),
+    })
     summary = rows.groupBy(*part).agg(
         F.min(F.when(_exit(), F.col("us"))).alias("first_exit"),
         F.max(F.when(_entry(), F.col("us"))).alias("last_entry"),
         F.max(F.when(_exit(), F.col("us"))).alias("last_exit"),
     )
-    over = f"OVER (PARTITION BY {', '.join(KEY)} ORDER BY segment)"
+    over = f"OVER (PARTITION BY {', '.join(SORT_KEY)} ORDER BY segment)"
     carry = summary.select(
         *part,
         F.expr(f"lead(first_exit) IGNORE NULLS {over}").alias("carry_next_exit"),
         F.expr(f"lag(last_entry) IGNORE NULLS {over}").alias("carry_prev_entry"),
         F.expr(f"lag(last_exit) IGNORE NULLS {over}").alias("carry_prev_exit"),
     )
-    return near.drop("next_entry_row").join(carry, part, "left").select(
+    return near.join(carry, part, "left").select(
         *KEY, "direction", "us",
         F.coalesce("next_exit", "carry_next_exit").alias("next_exit"),
         F.lit(None).cast("long").alias("next_entry"),
