@@ -12,7 +12,8 @@ def _fields(records: DataFrame, col: str, pos: str) -> DataFrame:
     """One row per record and top-level key."""
     rows = records.select(F.col(pos).alias("pos"), F.col(col).alias("record"))
     return records.sparkSession.sql(
-        "SELECT r.pos, f.key AS field, f.value AS value FROM {rows} r, LATERAL variant_explode(r.record) f",
+        "SELECT r.pos, f.key AS field, f.value AS value FROM {rows} r, LATERAL variant_explode(r.record) f "
+        "WHERE f.key IS NOT NULL",
         rows=rows,
     )
 
@@ -37,23 +38,25 @@ def json_field_profile(records: DataFrame, col: str = "record", pos: str = "pos"
         variants.cut_text(text, cut).alias("shown"),
         F.when(F.length(text) > cut, F.sha2(text, 256)).alias("digest"),
     )
-    distinct = filled.groupBy("field", "filled", "shown", "digest", "label").agg(
-        F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos")
+    # Totals and examples both read both columns, so Spark computes and shuffles this once.
+    distinct = filled.groupBy("field", "shown", "digest", "label").agg(
+        F.count("filled").alias("n"), F.min("pos").alias("pos")
     )
     totals = distinct.groupBy("field").agg(
-        F.coalesce(F.sum(F.when(F.col("filled") == 1, F.col("n"))), F.lit(0)).alias("n_filled")
+        F.sum("n").alias("n_filled"), F.min(F.when(F.col("n") > 0, F.col("pos"))).alias("first_pos")
     )
     by_pos = Window.partitionBy("field").orderBy("pos")
-    ranked = distinct.filter(F.col("filled") == 1).withColumn("rn", F.row_number().over(by_pos)).filter(
+    ranked = distinct.filter(F.col("n") > 0).withColumn("rn", F.row_number().over(by_pos)).filter(
         F.col("rn") <= examples)
     shown = ranked.groupBy("field").agg(
+        F.min("pos").alias("first_pos"),
         F.max(F.when(F.col("rn") == 1, F.col("label"))).alias("type"),
         *[F.max(F.when(F.col("rn") == i, F.col("shown"))).alias(f"example_{i}") for i in range(1, examples + 1)],
     )
     total = records.select(F.count(F.lit(1))).scalar()
     nested = F.coalesce(F.col("type"), F.lit("")).rlike("^(list|dict)")
     return (
-        totals.join(shown, "field", "left")
+        totals.join(shown, ["field", "first_pos"], "left")
         .select(
             "field",
             F.coalesce("type", F.lit("null")).alias("type"),

@@ -143,13 +143,21 @@ def collection_summary(events: DataFrame, persons: DataFrame, site: str | None =
     collapsed = events.groupBy("site_id", "zone_type", "direction", "person_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("event_dt_msk").alias("dt_min"), F.max("event_dt_msk").alias("dt_max")
     )
-    zones = collapsed.groupBy("site_id", "zone_type", "direction").agg(
-        F.sum("n").alias("cnt"), F.min("dt_min").alias("dt_min"), F.max("dt_max").alias("dt_max")
+    # Each person is counted at one of its few rows, so the distinct count needs no second pass.
+    rows_of_person = Window.partitionBy("site_id", "person_id").orderBy("zone_type", "direction")
+    counted = F.col("person_id").isNotNull() & (F.col("rn") == 1)
+    zones = (
+        collapsed.withColumn("rn", F.row_number().over(rows_of_person))
+        .groupBy("site_id", "zone_type", "direction")
+        .agg(
+            F.sum("n").alias("cnt"), F.min("dt_min").alias("dt_min"), F.max("dt_max").alias("dt_max"),
+            F.count_if(counted).alias("persons"),
+        )
+        .withColumn("persons_with_events", F.sum("persons").over(Window.partitionBy("site_id"))).drop("persons")
     )
-    seen = collapsed.groupBy("site_id").agg(F.count_distinct("person_id").alias("persons_with_events"))
     known = persons.groupBy("site_id").agg(F.count(F.lit(1)).alias("persons_count"))
     return (
-        zones.join(seen, "site_id", "left").join(known, "site_id", "left")
+        zones.join(known, "site_id", "left")
         .withColumn("persons_count", F.coalesce("persons_count", F.lit(0)))
         .orderBy("site_id", "zone_type", "direction")
     )
