@@ -6,11 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def json_type_label(value: Column, kind: Column | None = None, depth: int = 4) -> Column:
+def json_type_label(value: Column, kind: Column | None = None, depth: int = 2) -> Column:
     """null / bool / int / float / str / list[..] / dict{keys}.
 
     ``kind`` is ``schema_of_variant(value)`` where the caller has it as a column;
-    ``depth`` bounds how many nested lists are named by their first element.
+    ``depth`` is how many lists inside a list are named by their first element; the
+    expression grows with it, and a deeper list is just "list".
     """
     kind = F.schema_of_variant(value) if kind is None else kind
     first = F.try_variant_get(value, "$[0]", "variant")
