@@ -28,7 +28,7 @@ from swipeflow.llm import packs
 from swipeflow.llm.tables import partitions, raw_texts, saved
 
 #: Bytes of text that a map task codes at once.
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 24_000_000
 ENCODED = "doc_id long, n_tokens long, ids binary, decoded string"
 
 
@@ -44,17 +44,19 @@ def _positions(buckets: int):
             parts.append(np.array([place(w, len(index)) for w in words], dtype=np.uint32))
         codes = np.concatenate(parts) if parts else np.empty(0, np.uint32)
         words = list(index)
-        rank = np.empty(len(words), np.uint32)
-        often = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
-        rank[often] = np.arange(len(words), dtype=np.uint32)
-        words = [words[i] for i in often]
         owner = np.fromiter((zlib.crc32(w) % buckets for w in words), np.uint32, len(words))
-        yield packs.CHUNK, packs.pack((ids, counts, packs.planes(rank[codes]), packs.planes(owner)))
+        # frequent words get small numbers; among equally frequent ones owners and letters are in order, which packs well
+        order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+        order = order[np.lexsort((owner[order], -np.bincount(codes, minlength=len(words))[order]))]
+        rank = np.empty(len(words), np.uint32)
+        rank[order] = np.arange(len(words), dtype=np.uint32)
+        words, owner = [words[i] for i in order], owner[order]
+        yield packs.CHUNK, packs.pack((ids, counts, packs.code_bytes(rank[codes]), packs.planes(owner)))
         order = np.argsort(owner, kind="stable")
         edges = np.searchsorted(owner[order], np.arange(buckets + 1))
         for b in range(buckets):
             if edges[b] < edges[b + 1]:
-                yield b, packs.pack(b" ".join(words[i] for i in order[edges[b]:edges[b + 1]]))
+                yield b, packs.pack(b" ".join(words[i] for i in order[edges[b]:edges[b + 1]]), level=12)
 
     return make
 
@@ -119,7 +121,7 @@ def _join_back(pieces):
             payloads, answers = batch.column("payload"), batch.column("answers0")
             for i in range(batch.num_rows):
                 ids, counts, codes, owner = packs.unpack(payloads[i].as_py())
-                yield from one(ids, counts, packs.from_planes(codes, np.uint32), packs.from_planes(owner, np.uint32),
+                yield from one(ids, counts, packs.from_code_bytes(*codes), packs.from_planes(owner, np.uint32),
                                answers[i].as_py())
 
     return run

@@ -20,8 +20,8 @@ SCHEMA = "chunk string, bucket int, payload binary"
 CHUNK = -1
 
 
-def pack(value: object) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(value, protocol=5))
+def pack(value: object, level: int = 3) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(value, protocol=5))
 
 
 def unpack(payload: bytes) -> object:
@@ -54,6 +54,23 @@ def chunks(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[tuple[list,
         yield ids, held
 
 
+def code_bytes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers below 2**30 with small ones most frequent: one byte for those below 192, four for the others."""
+    large = codes >= 192
+    rest = codes[large] - 192
+    first = codes.astype(np.uint8)
+    first[large] = 192 + (rest >> 16 & 63)
+    return first, np.stack([rest & 255, rest >> 8 & 255, rest >> 22]).astype(np.uint8)
+
+
+def from_code_bytes(first: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    codes = first.astype(np.uint32)
+    large = first >= 192
+    low, middle, top = rest.astype(np.uint32)
+    codes[large] = 192 + (low | middle << 8 | (codes[large] - 192) << 16 | top << 22)
+    return codes
+
+
 def cells(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
     chunk, bucket, payload = zip(*rows)
     return pa.RecordBatch.from_arrays(
