@@ -150,11 +150,11 @@ filling AS (
     WINDOW o AS (ORDER BY {MOST}.0::DOUBLE * source_size / weight, number),
            b AS (ORDER BY {MOST}.0::DOUBLE * source_size / weight, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 level AS (
-    SELECT place AS at, remaining AS r, shares AS s FROM filling
+    SELECT place AS stop, remaining AS r, shares AS s FROM filling
     WHERE {MOST} * source_size * shares > weight * remaining ORDER BY place LIMIT 1),
 plan AS (
     SELECT number, source, source_size,
-           CASE WHEN at IS NULL OR place < at THEN ({MOST} * source_size)::DOUBLE ELSE (weight * r)::DOUBLE / s::DOUBLE END AS target,
+           CASE WHEN stop IS NULL OR place < stop THEN ({MOST} * source_size)::DOUBLE ELSE (weight * r)::DOUBLE / s::DOUBLE END AS target,
            greatest(1, least({BLOCK_WORDS}, words // ({MEAN_BLOCKS} * sources), source_size // {SOURCE_BLOCKS}))::BIGINT AS block_words
     FROM filling LEFT JOIN level ON true),
 needs AS (SELECT *, ceil(target / block_words)::BIGINT AS need FROM plan WHERE target > 0),
