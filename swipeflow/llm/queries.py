@@ -8,12 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeflow.llm import bpe, exact_dedup, mixing, near_dedup, substring_dedup, toxicity
+from swipeflow.llm import (
+    bpe, exact_dedup, fingerprints, license_scan, line_dedup, mixing, near_dedup, pii, substring_dedup, toxicity,
+)
 from swipeflow.llm.tables import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
@@ -26,11 +32,24 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir, "documents"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"), shingle=4)
 
@@ -42,14 +61,20 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
+    "op5_pii": op5_pii,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_fingerprints": op8_fingerprints,
     "op9_near_dedup": op9_near_dedup,
     "op10_bpe": op10_bpe,
 }
 ORACLES: dict[str, str] = {
+    "op1_license_scan": license_scan.oracle(),
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op3_mixing": mixing.ORACLE,
+    "op7_line_dedup": line_dedup.ORACLE,
 }
