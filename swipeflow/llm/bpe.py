@@ -51,7 +51,7 @@ def _positions(buckets: int):
         rank = np.empty(len(words), np.uint32)
         rank[order] = np.arange(len(words), dtype=np.uint32)
         words, owner = [words[i] for i in order], owner[order]
-        yield packs.CHUNK, packs.pack((ids, counts, packs.code_bytes(rank[codes]), packs.planes(owner)))
+        yield packs.CHUNK, packs.pack((ids, counts, packs.code_bytes(rank[codes]), packs.planes(owner)), level=6)
         order = np.argsort(owner, kind="stable")
         edges = np.searchsorted(owner[order], np.arange(buckets + 1))
         for b in range(buckets):
@@ -149,5 +149,5 @@ def encode(docs: DataFrame, vocabulary: str, buckets: int | None = None, chunk_b
     context = spark.sparkContext
     buckets = buckets or partitions(spark)
     coded = saved(raw_texts(docs).mapInArrow(packs.from_chunks(_positions(buckets), chunk_bytes), packs.SCHEMA), "bpe-chunks")
-    encoded = packs.by_owner(coded.filter(coded["bucket"] != packs.CHUNK), _encode_once(context.broadcast(spec)))
+    encoded = packs.by_owner(coded.filter(coded["bucket"] != packs.CHUNK), _encode_once(context.broadcast(spec)), level=12)
     return packs.with_answers(coded, encoded).mapInArrow(_join_back(context.broadcast(piece_table(spec))), ENCODED)

@@ -90,7 +90,7 @@ def _schedule(spark, plan: DataFrame, most: int) -> DataFrame:
 def _streams(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """Each row with the place of its first word in its source's stream."""
     mark = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = sized.withColumn("mark", mark).withColumn("piece", F.substring("mark", 1, 4)).join(
+    rows = sized.withColumn("mark", mark).withColumn("piece", F.substring("mark", 1, 3)).join(
         plan.select("number", F.col("source").alias("of"), "block_words"), F.col("source").eqNullSafe(F.col("of")))
     pieces = rows.groupBy("number", "piece").agg(F.sum("size").alias("n"))
     earlier = Window.partitionBy("number").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)

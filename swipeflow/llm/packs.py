@@ -89,7 +89,7 @@ def from_chunks(make: Callable[[list, list[bytes]], Iterator[tuple[int, bytes]]]
     return run
 
 
-def by_owner(cells_table: DataFrame, own: Callable[[list[tuple[str, object]]], list[object]]) -> DataFrame:
+def by_owner(cells_table: DataFrame, own: Callable[[list[tuple[str, object]]], list[object]], level: int = 3) -> DataFrame:
     """Each bucket's cells in one owner task; own() answers every cell, in the order given."""
 
     def run(group: pa.Table) -> pa.Table:
@@ -98,7 +98,7 @@ def by_owner(cells_table: DataFrame, own: Callable[[list[tuple[str, object]]], l
         order = sorted(range(len(names)), key=names.__getitem__)
         payloads = group.column("payload")
         answers = own([(names[i], unpack(payloads[i].as_py())) for i in order])
-        return pa.Table.from_batches([cells([(names[i], bucket, pack(a)) for i, a in zip(order, answers)])])
+        return pa.Table.from_batches([cells([(names[i], bucket, pack(a, level)) for i, a in zip(order, answers)])])
 
     return cells_table.groupBy("bucket").applyInArrow(run, SCHEMA)
 
