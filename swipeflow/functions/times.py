@@ -5,30 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from swipeflow.functions.values import trimmed
 from swipeflow.rules import US_PER_DAY, US_PER_HOUR, WEEKDAYS
 
 # The text formats the access controllers send.
 DEVICE_FORMATS = ("d.M.yyyy H:m:s", "yyyy-M-d'T'H:m:s'Z'", "yyyy-M-d'T'H:m:s")
 
-_ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?$"
+# Wall time up to microseconds; finer digits, a Z or an offset may follow.
+_ISO_TEXT = (
+    r"^(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?)"
+    r"(?:(?<=\.\d{6})\d+)?(?:Z+|[+-]\d{2}:?\d{2})?$"
+)
 
 
 def parse_device_time(text: Column, tz_hours: int = 3) -> Column:
     """Controller text as an instant. Every format, also the one ending in Z, is local time."""
-    trimmed = F.trim(text)
-    wall = F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(f)) for f in DEVICE_FORMATS])
+    bare = trimmed(text)
+    wall = F.coalesce(*[F.try_to_timestamp(bare, F.lit(f)) for f in DEVICE_FORMATS])
     return wall - F.expr(f"INTERVAL {tz_hours} HOURS")
 
 
 def parse_iso_utc(text: Column) -> Column:
-    """ISO text as UTC, a trailing Z ignored; anything else is NULL."""
-    bare = F.regexp_replace(F.trim(text), "Z+$", "")
-    return F.when(bare.rlike(_ISO_TEXT), bare.try_cast("timestamp"))
+    """The wall time of ISO text as UTC, a Z or an offset ignored; anything else is NULL."""
+    return F.nullif(F.regexp_extract(trimmed(text), _ISO_TEXT, 1), F.lit("")).try_cast("timestamp")
 
 
 def parse_any_utc(text: Column) -> Column:
     """Any text Spark reads as a time, as UTC; anything else is NULL."""
-    return F.trim(text).try_cast("timestamp")
+    return trimmed(text).try_cast("timestamp")
 
 
 def local_time(ts: Column, tz: int | str = 3) -> Column:

@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 
 from swipeflow.rules import ENTRY_CODES, EXIT_CODES
 
+# Fixed value: what counts as white space around a value.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Fixed value: the id that stands for "none".
 ZERO_ID = "00000000-0000-0000-0000-000000000000"
 
@@ -32,6 +38,11 @@ FEATURE_BITS = {
 }
 
 
+def trimmed(text: Column) -> Column:
+    """Text without white space of any kind at either end."""
+    return F.trim(text, F.lit(WHITE_SPACE))
+
+
 def direction(code: Column, other: str | None = "other") -> Column:
     """entry / exit / ``other`` of a transaction code."""
     return (
@@ -48,7 +59,7 @@ def is_entry(code: Column) -> Column:
 
 def to_uuid(text: Column, zero_is_null: bool = True) -> Column:
     """Trimmed id when it has 36 characters and 4 hyphens, else NULL."""
-    value = F.trim(text)
+    value = trimmed(text)
     valid = (F.length(value) == 36) & (F.length(value) - F.length(F.replace(value, F.lit("-"))) == 4)
     if zero_is_null:
         valid = valid & (value != F.lit(ZERO_ID))
@@ -57,15 +68,15 @@ def to_uuid(text: Column, zero_is_null: bool = True) -> Column:
 
 def to_int(text: Column, kind: str = "int") -> Column:
     """Whole number, or NULL when the text is none."""
-    return F.trim(text).try_cast(kind)
+    return trimmed(text).try_cast(kind)
 
 
 def first_territory_id(text: Column) -> Column:
     """First id of a list whose separator is the first kind present of comma, blank, semicolon."""
-    raw = F.trim(text)
+    raw = trimmed(text)
 
     def head(sep: str) -> Column:
-        parts = F.transform(F.split(raw, sep), lambda p: F.trim(p))
+        parts = F.transform(F.split(raw, sep), lambda p: trimmed(p))
         return F.try_element_at(F.filter(parts, lambda p: p != ""), F.lit(1))
 
     first = (
@@ -79,7 +90,7 @@ def first_territory_id(text: Column) -> Column:
 
 def clean_text(text: Column) -> Column:
     """Trimmed text; the literals None and nan become NULL."""
-    value = F.trim(text)
+    value = trimmed(text)
     return F.when(~value.isin("None", "nan"), value)
 
 
@@ -116,17 +127,25 @@ def territory_type_name(code: Column) -> Column:
 
 
 def decode_feature_mask(mask: Column) -> Column:
-    """Names of the known bits of an unsigned 64-bit mask in decimal text.
+    """Names of the known bits of a mask in decimal text of any length; a negative one has its two's complement.
 
     No known bit: the number itself; empty: ''; not a number: unchanged.
     """
-    number = F.trim(mask)
-    bits = F.lpad(F.conv(number, 10, 2), 64, "0")
+    number = trimmed(mask)
+    negative = number.startswith("-")
+    digits = F.regexp_replace(number, "^[+-]", "")
+    size = F.lit(str(2**64)).cast("decimal(38,0)")
+    low = F.aggregate(
+        F.split(digits, ""), F.lit(0).cast("decimal(38,0)"),
+        lambda total, d: F.pmod(total * 10 + F.coalesce(d.try_cast("int"), F.lit(0)), size).cast("decimal(38,0)"))
+    low = F.when(negative, F.pmod(size - low, size)).otherwise(low)
+    bits = F.lpad(F.conv(low.cast("decimal(20,0)").cast("string"), 10, 2), 64, "0")
     names = F.concat_ws(
         ", ",
         *[F.when(F.substring(bits, 64 - bit, 1) == "1", F.lit(name)) for bit, name in FEATURE_BITS.items()],
     )
-    plain = number.try_cast("decimal(38,0)").cast("string")
+    bare = F.regexp_replace(digits, "^0+(?=[0-9])", "")
+    plain = F.when(negative & (bare != "0"), F.concat(F.lit("-"), bare)).otherwise(bare)
     return (
         F.when(mask.isNull() | (mask == ""), F.lit(""))
         .when(~number.rlike(r"^[+-]?\d+$"), mask)

@@ -6,28 +6,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def json_type_label(value: Column, kind: Column | None = None, depth: int = 2) -> Column:
-    """null / bool / int / float / str / list[..] / dict{keys}.
+def json_type_label(value: Column) -> Column:
+    """null / bool / int / float / str / list[..] / dict{keys}; a list is named by its first element, at any depth.
 
-    ``kind`` is ``schema_of_variant(value)`` where the caller has it as a column;
-    ``depth`` is how many lists inside a list are named by their first element; the
-    expression grows with it, and a deeper list is just "list".
+    The leading brackets of the JSON text say how many lists lie inside each other; one look-up at that
+    depth gives what the innermost holds.
     """
-    kind = F.schema_of_variant(value) if kind is None else kind
-    first = F.try_variant_get(value, "$[0]", "variant")
-    inner = json_type_label(first, depth=depth - 1) if depth else F.lit("list")
-    keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
-    return (
-        F.when(value.isNull() | (kind == "VOID"), F.lit("null"))
-        .when(kind == "BOOLEAN", F.lit("bool"))
-        .when(kind == "BIGINT", F.lit("int"))
-        .when(kind.startswith("DECIMAL") | (kind == "DOUBLE"), F.lit("float"))
-        .when(kind == "STRING", F.lit("str"))
-        .when(kind.startswith("ARRAY"), F.concat(
-            F.lit("list["), F.when(first.isNull(), F.lit("")).otherwise(inner), F.lit("]")))
-        .when(kind.startswith("OBJECT"), F.concat(F.lit("dict{"), F.array_join(keys, ", "), F.lit("}")))
-        .otherwise(F.lower(kind))
+    text = F.to_json(value)
+    lists = F.length(F.regexp_extract(text, r"^\[+", 0))
+    path = F.concat(F.lit("$"), F.repeat(F.lit("[0]"), lists))
+    start = F.substring(text, lists + 1, F.lit(1))
+    inner = F.try_variant_get(value, path, "variant")
+    kind = F.schema_of_variant(inner)
+    # an integer beyond 64 bits is held as a decimal
+    large = kind.startswith("DECIMAL") & F.to_json(inner).rlike(r"^-?[0-9]{19,}$") & F.to_json(inner).try_cast("bigint").isNull()
+    core = (
+        F.when(start == "]", F.lit(""))
+        .when(start == "n", F.lit("null"))
+        .when(start.isin("t", "f"), F.lit("bool"))
+        .when(start == '"', F.lit("str"))
+        .when(start == "{", F.concat(
+            F.lit("dict{"), F.array_join(F.map_keys(F.try_variant_get(value, path, "map<string,variant>")), ", "), F.lit("}")))
+        .when((kind == "BIGINT") | large, F.lit("int"))
+        .otherwise(F.lit("float"))
     )
+    nested = F.concat(F.repeat(F.lit("list["), lists), core, F.repeat(F.lit("]"), lists))
+    return F.when(value.isNull(), F.lit("null")).otherwise(nested)
 
 
 def json_text(value: Column, cut: int = 120) -> Column:

@@ -57,22 +57,24 @@ def last_n_events(events: DataFrame, n: int = 20) -> DataFrame:
 
 
 def events_for_person(events: DataFrame, person_id: str | Column, as_of: dt.datetime | Column | None = None,
-                      hours: int = 72, cap: int = 200) -> DataFrame:
-    """One person's events of the last hours, oldest first, at most ``cap``."""
-    return (
+                      hours: int = 72, cap: int | None = None) -> DataFrame:
+    """One person's events of the last hours, oldest first; the first ``cap`` if one is given."""
+    out = (
         _since(events, as_of, hours).filter(F.col("person_id") == person_id)
-        .orderBy("event_dt", "event_guid").limit(cap)
+        .orderBy("event_dt", "event_guid")
     )
+    return out if cap is None else out.limit(cap)
 
 
 def events_for_point(events: DataFrame, territory_id: str | Column, as_of: dt.datetime | Column | None = None,
-                     hours: int = 24, cap: int = 200) -> DataFrame:
+                     hours: int = 24, cap: int | None = None) -> DataFrame:
     """One point's events of the last hours, oldest first; the card code stands in for an empty name."""
-    return (
+    out = (
         _since(events, as_of, hours).filter(F.col("territory_id") == territory_id)
         .withColumn("shown_name", values.name_or_card(F.col("person_fullname"), F.col("card_code")))
-        .orderBy("event_dt", "event_guid").limit(cap)
+        .orderBy("event_dt", "event_guid")
     )
+    return out if cap is None else out.limit(cap)
 
 
 def find_people(persons: DataFrame, last: str | None = None, first: str | None = None,

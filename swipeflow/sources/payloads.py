@@ -30,13 +30,18 @@ def read_event_files(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_event_payload(raw: DataFrame, payload: str = "payload") -> DataFrame:
     """Adds the positional values of one EventObject per row as ``items``."""
-    return raw.withColumn("items", F.from_xml(payload, _VALUES)["Values"]["anyType"])
+    return _parsed_once(raw, payload, _VALUES).withColumn("items", F.col("_parsed.Values.anyType")).drop("_parsed")
+
+
+def _parsed_once(raw: DataFrame, payload: str, schema: str) -> DataFrame:
+    """Adds ``_parsed`` through a generator, so that conditions on it are not pushed down as parses of their own."""
+    return raw.withColumn("_parsed", F.explode(F.array(F.from_xml(payload, schema))))
 
 
 def _item(position: int) -> Column:
     element = F.try_element_at("items", F.lit(position + 1))
-    text = F.nullif(F.trim(element["_VALUE"]), F.lit(""))
-    return F.coalesce(text, F.trim(F.try_element_at(element["guid"], F.lit(1))))
+    text = F.nullif(values.trimmed(element["_VALUE"]), F.lit(""))
+    return F.coalesce(text, values.trimmed(F.try_element_at(element["guid"], F.lit(1))))
 
 
 def decode_events(parsed: DataFrame, fields: Sequence[str], drop_missing: bool = False) -> DataFrame:
@@ -66,13 +71,12 @@ def decode_pilot_events(parsed: DataFrame, tz_hours: int = 3) -> DataFrame:
     )
 
 
+_STAR_FIELDS = ("event_guid", "event_dt", "transaction_type_id", "person_id", "territory_ids", "card_code")
+
+
 def decode_star_events(parsed: DataFrame) -> DataFrame:
-    """Typed events of the two-source layout: rows without id or readable time are left out."""
-    named = decode_events(
-        parsed,
-        ("event_guid", "event_dt", "transaction_type_id", "person_id", "territory_ids", "card_code"),
-        drop_missing=True,
-    )
+    """Typed events of the two-source layout: rows without id or readable time are left out (see count_star_events)."""
+    named = decode_events(parsed, _STAR_FIELDS, drop_missing=True)
     typed = named.withColumns({
         "event_dt": times.parse_iso_utc(F.col("event_dt")),
         "transaction_type_id": values.to_int(F.col("transaction_type_id")),
@@ -82,14 +86,23 @@ def decode_star_events(parsed: DataFrame) -> DataFrame:
     return typed.filter(F.col("event_guid").isNotNull() & F.col("event_dt").isNotNull())
 
 
+def count_star_events(parsed: DataFrame, by: str = "source_id") -> DataFrame:
+    """Per source: payloads that decode_star_events keeps, and those it drops by the first reason that applies."""
+    reason = (
+        F.when(F.col("items").isNull(), F.lit("no_values"))
+        .when(_item(0).isNull(), F.lit("no_id"))
+        .when(times.parse_iso_utc(_item(1)).isNull(), F.lit("no_time"))
+    )
+    return parsed.groupBy(by).agg(
+        F.count_if(reason.isNull()).alias("kept"),
+        *[F.count_if(reason == r).alias(r) for r in ("no_values", "no_id", "no_time")])
+
+
 def _members(raw: DataFrame, schema: str, payload: str) -> DataFrame:
     keep = [F.col(c) for c in raw.columns if c != payload]
-    obj = F.from_xml(payload, schema)
     names = [part.split()[0] for part in schema.split(", ")]
-    return raw.select(*keep, obj.alias("o")).select(
-        *[c for c in raw.columns if c != payload],
-        *[F.nullif(F.trim(F.col(f"o.{n}")), F.lit("")).alias(n) for n in names],
-    )
+    return _parsed_once(raw, payload, schema).select(
+        *keep, *[F.nullif(values.trimmed(F.col(f"_parsed.{n}")), F.lit("")).alias(n) for n in names])
 
 
 def decode_persons(raw: DataFrame, rule: str = "org_id", payload: str = "payload") -> DataFrame:

@@ -73,6 +73,34 @@ def test_feature_mask(spark):
                    "", "Дверь, 2 считывателя, APB"]
 
 
+def test_feature_mask_of_any_size(spark):
+    texts = [str(2**64 + 1), "1" + "0" * 49, "-1", "+5", "-0", "+256", str(2**70 + 2), "-256", "\t3\n"]
+    got = apply(spark, values.decode_feature_mask, texts)
+
+    def expected(text):
+        number = int(text)
+        names = [name for bit, name in values.FEATURE_BITS.items() if number >> bit & 1]
+        return ", ".join(names) or str(number)
+
+    assert got == [expected(t) for t in texts]
+
+
+def test_white_space_of_any_kind(spark):
+    assert apply(spark, values.to_uuid, [f"\n\t{G1}\xa0\r\n"]) == [G1]
+    assert apply(spark, values.to_int, ["\t42\n", "\u20037"]) == [42, 7]
+    assert apply(spark, values.clean_text, ["\r\n a b\t"]) == ["a b"]
+    assert apply(spark, times.parse_device_time, ["\n1.3.2026 6:01:39\t"]) == [dt.datetime(2026, 3, 1, 3, 1, 39)]
+
+
+def test_iso_times_with_offsets_and_fine_fractions(spark):
+    at = dt.datetime(2026, 3, 1, 6, 1, 39)
+    got = apply(spark, times.parse_iso_utc, [
+        "2026-03-01T06:01:39+03:00", "2026-03-01T06:01:39.1234567", "2026-03-01T06:01:39.123456789Z", "2026-03-01 06:01-0500",
+        "2026-03-01", "2026-03-0199", "2026-03-01T06:01:39.12x"])
+    assert got == [at, at.replace(microsecond=123456), at.replace(microsecond=123456), at.replace(second=0),
+                   dt.datetime(2026, 3, 1), None, None]
+
+
 def test_territory_type(spark):
     assert apply(spark, values.territory_type_name, [0, 2, 9, None], "int") == ["Папка", "Участок", "9", None]
 
@@ -99,7 +127,10 @@ def test_display_time(spark):
 @pytest.mark.parametrize("text,label", [
     ("null", "null"), ("true", "bool"), ("1", "int"), ("1.5", "float"), ('"a"', "str"), ("[]", "list[]"),
     ("[1, 2]", "list[int]"), ("[[true]]", "list[list[bool]]"), ('{"b": 1, "a": 2}', "dict{a, b}"),
-    ('[{"k": null}]', "list[dict{k}]"), ("[null]", "list[null]"),
+    ('[{"k": null}]', "list[dict{k}]"), ("[null]", "list[null]"), ("[[[1]]]", "list[list[list[int]]]"),
+    ("[[[[[[1.5]]]]]]", "list[" * 6 + "float" + "]" * 6), ("[[[]]]", "list[list[list[]]]"), ("[[], 1]", "list[list[]]"),
+    ('[[[{"a": [1]}]]]', "list[list[list[dict{a}]]]"), ("12345678901234567890", "int"), ("[-12345678901234567890]", "list[int]"),
+    ('"[["', "str"), ("1e30", "float"), ("{}", "dict{}"),
 ])
 def test_json_type_label(spark, text, label):
     got = apply(spark, lambda c: variants.json_type_label(F.parse_json(c)), [text])
