@@ -111,5 +111,4 @@ def daily_headcount(mart: DataFrame) -> DataFrame:
 
 def write_mart(mart: DataFrame, path: str) -> None:
     """Parquet, one folder per report date, so that later reads prune by day."""
-    mart.repartition("report_date", "site_id", F.pmod(F.xxhash64("person_id"), F.lit(32))).write.mode(
-        "errorifexists").partitionBy("report_date").parquet(path)
+    mart.hint("rebalance", "report_date").write.mode("errorifexists").partitionBy("report_date").parquet(path)

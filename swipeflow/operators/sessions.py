@@ -125,18 +125,20 @@ def _neighbours_of_distinct(swipes: DataFrame) -> DataFrame:
 def _neighbours(swipes: DataFrame) -> DataFrame:
     """Nearest swipes strictly before and after each swipe, history cut into segments."""
     part = [*SORT_KEY, "segment"]
-    rows = swipes.withColumns({
+    keyed = swipes.withColumns({
         "key_hash": F.xxhash64(*KEY),
         "pos": _pos(F.col("us")),
         "segment": F.col("us") - F.pmod(F.col("us"), F.lit(SEGMENT_US)),
-    }).repartition(*part)
+    })
+    rows = keyed.repartition(*part)
     earlier = Window.partitionBy(*part).orderBy("pos").rangeBetween(Window.unboundedPreceding, -1)
     near = rows.withColumns({
         "next_exit": _near("lead", "exit", keys=part),
         "prev_entry": F.max(F.when(_entry(), F.col("us"))).over(earlier),
         "prev_exit": F.max(F.when(_exit(), F.col("us"))).over(earlier),
     })
-    summary = rows.groupBy(*part).agg(
+    # from the swipes before their exchange: segments are summed up map-side, and raw swipes move once
+    summary = keyed.groupBy(*part).agg(
         F.min(F.when(_exit(), F.col("us"))).alias("first_exit"),
         F.max(F.when(_entry(), F.col("us"))).alias("last_entry"),
         F.max(F.when(_exit(), F.col("us"))).alias("last_exit"),

@@ -2,24 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 
-def read_events_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """An event export with its types restored; no schema inference pass."""
-    return (
-        spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
+def read_events_csv(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False) -> DataFrame:
+    """An event export with its types restored; no schema inference pass.
+
+    Files of write_csv hold a row on each line, so Spark splits large ones. ``multi_line`` reads foreign
+    files that have line ends inside quotes, each whole file in one task.
+    """
+    rows = (
+        spark.read.schema(schema).option("header", True).option("multiLine", multi_line).option("escape", '"')
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").csv(path)
     )
+    return rows if multi_line else _texts(rows, _plain)
+
+
+def _texts(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    names = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    return df.select(*[change(F.col(c)).alias(c) if c in names else F.col(c) for c in df.columns])
+
+
+def _one_line(text: Column) -> Column:
+    """Line ends as backslash letters, and backslashes doubled."""
+    escaped = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(escaped, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def _plain(text: Column) -> Column:
+    """The text that _one_line was given: pieces between doubled backslashes hold single ones of line ends only."""
+    pieces = F.transform(F.split(text, r"\\\\"), lambda p: F.replace(
+        F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.when(F.contains(text, F.lit("\\")), F.array_join(pieces, "\\")).otherwise(text)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """A row on each line; line ends inside values are written as \\n and \\r."""
     (
-        df.write.mode(mode).option("header", True).option("escape", '"')
+        _texts(df, _one_line).write.mode(mode).option("header", True).option("escape", '"')
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").csv(path)
     )
 
@@ -36,16 +60,14 @@ def export(tables: Mapping[str, DataFrame], path: str, fmt: str = "csv") -> None
             raise ValueError("fmt must be csv or parquet")
 
 
-def write_events(events: DataFrame, path: str, files_per_month: int = 8, mode: str = "errorifexists") -> None:
+def write_events(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Event table as parquet by source and month, so that time-range scans read only their months.
 
-    Rows are spread over ``files_per_month`` tasks per folder: one source with
-    most of the events is not written by a single task.
+    Rebalanced by size: a source-month of many gigabytes is written by many tasks, a small one by one.
     """
-    spread = F.pmod(F.xxhash64("event_guid"), F.lit(files_per_month))
     (
         events.withColumn("month", F.date_format("event_dt", "yyyy-MM"))
-        .repartition("source_id", "month", spread)
+        .hint("rebalance", "source_id", "month")
         .write.mode(mode).partitionBy("source_id", "month").parquet(path)
     )
 

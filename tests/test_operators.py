@@ -298,6 +298,15 @@ def test_lookback_starts_at_midnight(spark):
     assert [r.event_guid for r in got.collect()] == ["g1"]
 
 
+def test_csv_keeps_line_ends_quotes_and_backslashes(spark):
+    texts = ["a\nb", "\r\n", 'say "x", y', "back\\slash \\n", "\\\\n\n\\", "", None, "\\r\r"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    path = scratch_path(spark, "lines")
+    files.write_csv(df, path)
+    got = {r.i: r.t for r in files.read_events_csv(spark, path, df.schema).collect()}
+    assert [got[i] or None for i in range(len(texts))] == [t or None for t in texts]
+
+
 def test_append_export_without_duplicates(spark):
     path = scratch_path(spark, "csv")
     first = star_rows(spark, [("a", "g1", T0, "x, \"y\"")])
