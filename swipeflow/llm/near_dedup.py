@@ -98,7 +98,7 @@ def likely_similarity(above: np.ndarray, below: np.ndarray, left: np.ndarray, ri
     most = np.minimum(u / v, v / u)
     equal = REGISTERS - above - below
     best, top = np.zeros(len(u)), np.full(len(u), -np.inf)
-    for step in np.linspace(0, 1, 101):
+    for step in np.linspace(0, 1, 51):
         j = step * most
         more, less = _log_share(u - v * j), _log_share(v - u * j)
         score = sum(n * np.log(np.maximum(p, 1e-300)) for n, p in ((above, more), (below, less), (equal, 1 - more - less)))
@@ -153,7 +153,7 @@ def _links(percent: int):
         block = np.array(group.column("block").to_pylist())
         across = group.column("i")[0].as_py() != group.column("j")[0].as_py()
         sizes = np.array([len(s) for s in sets], dtype=np.float64)
-        lefts, rights, likely = [], [], []
+        lefts, rights, larger, smaller = [], [], [], []
         for i in range(len(nodes) - 1):
             others = np.arange(i + 1, len(nodes))
             if across:
@@ -163,16 +163,17 @@ def _links(percent: int):
             above = (registers[i] > registers[others]).sum(axis=1)
             below = (registers[i] < registers[others]).sum(axis=1)
             near = REGISTERS - above - below >= REGISTERS * (percent / 100 - 2 * MARGIN)
-            others, above, below = others[near], above[near], below[near]
-            similar = likely_similarity(above, below, np.full(len(others), sizes[i]), sizes[others])
-            near = similar >= percent / 100 - MARGIN
             lefts.append(np.full(near.sum(), i))
             rights.append(others[near])
-            likely.append(similar[near])
+            larger.append(above[near])
+            smaller.append(below[near])
         root, found = list(range(len(nodes))), []
         if lefts:
             left, right = np.concatenate(lefts), np.concatenate(rights)
-            for p in np.argsort(-np.concatenate(likely), kind="stable"):
+            likely = likely_similarity(np.concatenate(larger), np.concatenate(smaller), sizes[left], sizes[right])
+            for p in np.argsort(-likely, kind="stable"):
+                if likely[p] < percent / 100 - MARGIN:
+                    break
                 i, j = int(left[p]), int(right[p])
                 if find(root, i) == find(root, j):
                     continue
