@@ -200,7 +200,8 @@ def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
         F.ceil(F.count("*") / F.lit(BLOCK_DOCS)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).alias("blocks"))
     members = coarse.select("node", "component").distinct().join(sizes, "component").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    found = raw_texts(docs).join(members, F.col("doc_id") == F.col("node")).select("node", "component", "blocks", "block", "text")
+    # the members grow with the documents: joined by shuffle at every size, never sent whole to the tasks
+    found = raw_texts(docs).join(members.hint("merge"), F.col("doc_id") == F.col("node")).select("node", "component", "blocks", "block", "text")
     sets = found.mapInArrow(_sets(shingle), "node long, component long, blocks long, block long, hashes binary, registers binary")
     spread = sets.filter(F.length("hashes") > 0).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block", "hashes", "registers")
