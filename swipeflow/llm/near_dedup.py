@@ -217,4 +217,4 @@ def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
 def deduplicated(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """docs without the documents that are not the first of their group."""
     gone = groups(docs, shingle, percent).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
