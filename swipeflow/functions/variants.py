@@ -34,10 +34,5 @@ def json_type_label(value: Column) -> Column:
     return F.when(value.isNull(), F.lit("null")).otherwise(nested)
 
 
-def json_text(value: Column, cut: int = 120) -> Column:
-    """JSON text, cut to ``cut`` characters and an ellipsis."""
-    return cut_text(F.to_json(value), cut)
-
-
 def cut_text(text: Column, cut: int = 120) -> Column:
     return F.when(F.length(text) > cut, F.concat(F.substring(text, 1, cut), F.lit("…"))).otherwise(text)

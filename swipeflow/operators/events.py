@@ -117,9 +117,12 @@ def select_fields(events: DataFrame, names: Iterable[str]) -> DataFrame:
 def scan_history(events: DataFrame, date_from: dt.datetime, date_to: dt.datetime,
                  types: Iterable[int] | None = None, territories: Iterable[str] | None = None,
                  orgs: Iterable[str] | None = None, persons: Iterable[str] | None = None,
-                 limit: int | None = None) -> DataFrame:
+                 limit: int | None = None, people: DataFrame | None = None) -> DataFrame:
     """Events of a time range (both ends included) with optional code, point, unit and person sets.
 
+    Units are looked up in ``people`` (person_id, org_id and, where sources are apart, source_id or site_id),
+    as events name a person only.
+
     All predicates are plain column filters, so they reach the file scan; a
     table partitioned by month is pruned to the months of the range.
     """
@@ -127,10 +130,14 @@ def scan_history(events: DataFrame, date_from: dt.datetime, date_to: dt.datetime
     if "month" in events.columns:
         first, last = (F.date_format(F.lit(at), "yyyy-MM") for at in (date_from, date_to))
         out = out.filter(F.col("month").between(first, last))
-    for col, wanted in (("transaction_type_id", types), ("territory_id", territories),
-                        ("org_id", orgs), ("person_id", persons)):
+    for col, wanted in (("transaction_type_id", types), ("territory_id", territories), ("person_id", persons)):
         if wanted is not None:
             out = out.filter(F.col(col).isin(*wanted))
+    if orgs is not None:
+        if people is None:
+            raise ValueError("a filter by unit needs the people table")
+        keys = [c for c in ("source_id", "site_id") if c in events.columns and c in people.columns] + ["person_id"]
+        out = out.join(people.filter(F.col("org_id").isin(*orgs)).select(*keys), keys, "left_semi")
     if limit is not None:
         out = out.orderBy("event_dt", "event_guid").limit(limit)
     return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swipeflow.functions import variants
@@ -68,14 +68,29 @@ def json_field_profile(records: DataFrame, col: str = "record", pos: str = "pos"
     )
 
 
-def json_schema(records: DataFrame, col: str = "record", pos: str = "pos", nested_only: bool = False) -> DataFrame:
-    """Nested schema text of every top-level key, merged over all records."""
-    schema = F.schema_of_variant_agg("value")
+def _named_types(schema: Column) -> Column:
     for sql_name, name in (
         (r"DECIMAL\(\d+,\s*\d+\)", "float"), ("DOUBLE", "float"), ("BIGINT", "int"), ("STRING", "str"),
         ("BOOLEAN", "bool"), ("VOID", "null"), ("ARRAY<", "list<"), ("OBJECT<", "dict<"),
     ):
         schema = F.regexp_replace(schema, rf"(?<![`\w]){sql_name}", name)
+    return schema
+
+
+def json_nested(records: DataFrame, col: str = "record", pos: str = "pos") -> DataFrame:
+    """Per key inside an object, or inside the objects of a list: field, key, schema over all records."""
+    fields = _fields(records, col, pos)
+    items = fields.select("pos", "field", F.explode(F.coalesce(
+        F.try_variant_get("value", "$", "array<variant>"), F.array("value"))).alias("record"))
+    inner = items.sparkSession.sql(
+        "SELECT r.field, f.key AS key, f.value AS value FROM {rows} r, LATERAL variant_explode(r.record) f WHERE f.key IS NOT NULL",
+        rows=items)
+    return inner.groupBy("field", "key").agg(_named_types(F.schema_of_variant_agg("value")).alias("schema")).orderBy("field", "key")
+
+
+def json_schema(records: DataFrame, col: str = "record", pos: str = "pos", nested_only: bool = False) -> DataFrame:
+    """Nested schema text of every top-level key, merged over all records."""
+    schema = _named_types(F.schema_of_variant_agg("value"))
     out = _fields(records, col, pos).groupBy("field").agg(schema.alias("schema"))
     if nested_only:
         out = out.filter(F.col("schema").rlike("^(list|dict)"))

@@ -183,8 +183,15 @@ def dashboard(vacancies: DataFrame, subs: DataFrame, candidates: DataFrame, appl
               as_of: dt.date | Column, recruiter: str | None = None, statuses: Sequence[str] | None = None,
               period: tuple[dt.date, dt.date] | None = None,
               cutoffs: Mapping[str, tuple[float, float]] = DEFAULT_CUTOFFS) -> DataFrame:
-    """All rules as one table: section, rule, value, severity."""
+    """All rules as one table: section, rule, value, severity.
+
+    With a filter every rule covers the chosen vacancies only: their subs, applications and candidates. A sub
+    without a vacancy belongs to no choice, so ``orphan_subs`` is then 0.
+    """
     vac, sub, app = filter_scope(vacancies, subs, applications, recruiter, statuses, period)
+    if vac is not vacancies:
+        # with a filter, the candidates of the chosen vacancies
+        candidates = candidates.join(app.select("candidate_id"), "candidate_id", "left_semi")
     people = candidate_values(candidates)
     values = entity_values(vac, sub, app, as_of).withColumns(
         {rule: people.select(rule).scalar() for rule in ("form_share", "no_consent")})

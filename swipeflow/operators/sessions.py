@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swipeflow.functions import times
+from swipeflow.operators.events import identified_only
 from swipeflow.rules import (
     HIGH, LABEL_HIDDEN_EXIT, LABEL_OPEN_END, LABEL_OPEN_START, LOW, US_PER_DAY,
     US_PER_MINUTE, US_PER_SECOND, Rules,
@@ -86,7 +87,7 @@ def drop_repeat_swipes(events: DataFrame, rules: Rules) -> DataFrame:
     leaves only its first; a gap of exactly the limit stays.
     """
     if not rules.dup_minutes:
-        return events.filter(F.col("person_id").isNotNull() & F.col("zone_type").isNotNull())
+        return identified_only(events)
     payload = [c for c in events.columns if c not in (*KEY, "direction")]
     rest = [c for c in payload if c != "event_guid"]
     row = F.struct("us", "event_guid", *rest)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from swipeflow.functions import times, values
@@ -109,8 +109,26 @@ def match_identities(persons: DataFrame, src_a: str, src_b: str) -> DataFrame:
     return a.join(b, "tab_number", "inner").select("tab_number", "pid_a", "pid_b", "last_name", "first_name")
 
 
-def top_matches(matches: DataFrame, n: int = 10) -> DataFrame:
-    return matches.orderBy("tab_number", "pid_a", "pid_b").limit(n)
+def match_numbers(persons: DataFrame, src_a: str, src_b: str) -> DataFrame:
+    """Per shared number: how many persons of each source hold it, and the smallest ids; no pairing is built."""
+    def side(source: str, tag: str) -> DataFrame:
+        return _numbered(persons, source).groupBy("tab_number").agg(
+            F.count(F.lit(1)).alias(f"n_{tag}"), F.min("person_id").alias(f"first_{tag}"))
+
+    return side(src_a, "a").join(side(src_b, "b"), "tab_number")
+
+
+def top_matches(persons: DataFrame, src_a: str, src_b: str, n: int = 10) -> DataFrame:
+    """The first ``n`` rows of match_identities by number and ids.
+
+    They lie in the n smallest shared numbers and, of each, in the n smallest ids of either side, so at most
+    n * n * n pairs are built and sorted.
+    """
+    numbers = match_numbers(persons, src_a, src_b).select("tab_number").orderBy("tab_number").limit(n)
+    rank = F.row_number().over(Window.partitionBy("source_id", "tab_number").orderBy("person_id"))
+    few = persons.join(numbers, "tab_number", "left_semi").filter(F.col("source_id").isin(src_a, src_b)).withColumn(
+        "_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+    return match_identities(few, src_a, src_b).orderBy("tab_number", "pid_a", "pid_b").limit(n)
 
 
 def apply_identities(persons: DataFrame, src_a: str, src_b: str, dry_run: bool = True) -> DataFrame:

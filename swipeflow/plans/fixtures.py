@@ -33,6 +33,7 @@ _ZONES = {
 SITES = {site: {"zones": _ZONES, "access_point_types": _KINDS} for site in ("site_a", "site_b")}
 SOURCES = ("msk", "spb")
 CODES = {"click": 590144, "signup": 590152, "view": 590145, "purchase": 590153, "error": 599999}
+# Transaction codes and their names.
 TYPES = (
     (590144, "нормальный вход", 1), (590152, "фактический вход", 1), (590145, "нормальный выход", 2),
     (590153, "фактический выход", 2), (590146, "выход вне временного профиля", 2),
@@ -165,11 +166,11 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A load ledger from the monthly orders before 1997."""
-    months = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") < F.lit(dt.datetime(1997, 1, 1))).groupBy(
+    """A load ledger from the monthly orders; months whose number of orders divides by five are missing."""
+    months = table(spark, sf_dir, "orders").groupBy(
         source(F.col("o_custkey")).alias("source_id"),
         F.date_trunc("month", F.col("o_orderdate").cast("timestamp")).alias("period_start"),
-    ).agg(F.count(F.lit(1)).alias("rows_loaded"))
+    ).agg(F.count(F.lit(1)).alias("rows_loaded")).filter(F.col("rows_loaded") % 5 != 0)
     status = F.when(F.col("rows_loaded") % 4 == 0, F.lit("error")).when(
         F.col("rows_loaded") % 4 == 1, F.lit("pending")).otherwise(F.lit("done"))
     return months.select(
@@ -238,6 +239,22 @@ def star_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</Values></EventObject>")).alias("payload"))
 
 
+def rough_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As star_payloads, with missing ids (k = 5), offsets, fine fractions, dates alone and unreadable times by k % 5."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    rows = table(spark, sf_dir, "events").select(
+        source(F.col("user_id")).alias("source_id"), guid("8000", F.col("event_id")).alias("guid"), F.col("ts"), k.alias("k"))
+    second = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    text = (
+        F.when(F.col("k") % 5 == 0, F.concat(second, F.lit("Z"))).when(F.col("k") % 5 == 1, F.concat(second, F.lit("+03:00")))
+        .when(F.col("k") % 5 == 2, F.concat(second, F.lit(".1234567"))).when(F.col("k") % 5 == 3, F.date_format("ts", "yyyy-MM-dd"))
+        .otherwise(F.date_format("ts", "d.M.yyyy")))
+    return rows.select("source_id", F.concat(
+        F.lit("<EventObject><Values>"), F.when(F.col("k") == 5, F.lit("<anyType/>")).otherwise(
+            F.concat(F.lit("<anyType>\n  "), F.col("guid"), F.lit("\t</anyType>"))),
+        F.lit("<anyType>"), text, F.lit("</anyType></Values></EventObject>")).alias("payload"))
+
+
 def type_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed XML of the transaction codes that occur in the events, the mask being the event count."""
     counted = all_events(spark, sf_dir).groupBy("transaction_type_id").agg(F.count(F.lit(1)).alias("n"))
@@ -289,6 +306,15 @@ def json_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
             {"ignoreNullFields": "false"}).alias("text"))
 
 
+def nested_json_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with lists one to six deep, empty lists, objects in lists, and integers beyond 64 bits."""
+    user = F.col("user_id").cast("string")
+    deep = [F.concat(F.lit(f'"n{d}":' + "[" * d), user, F.lit("]" * d + ",")) for d in range(1, 7)]
+    return table(spark, sf_dir, "events").select(F.col("event_id").alias("pos"), F.concat(
+        F.lit("{"), *deep, F.lit('"none":[[]],"objects":[[{"user":'), user, F.lit('}]],"large":1000000000000'), F.lpad(user, 8, "0"),
+        F.lit("}")).alias("text"))
+
+
 def vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = F.col("o_custkey")
     return table(spark, sf_dir, "orders").select(

@@ -12,6 +12,7 @@ from swipeflow.functions import times, values
 from swipeflow.operators import events as ev
 from swipeflow.operators import loads, lookups, mart, profile, quality, reports, sessions, star, territory
 from swipeflow.plans import fixtures as fx
+from swipeflow.rules import ENTRY_CODES, EXIT_CODES
 from swipeflow.session import scratch_path
 from swipeflow.sources import files, payloads
 from swipeflow.streaming import loader
@@ -151,7 +152,18 @@ def select_fields(spark, sf):
 def scan_history(spark, sf):
     return ev.scan_history(
         fx.star_rows(spark, sf), dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 25, 23, 59, 59),
-        types=(590144, 590145, 590152, 590153, 590146, 590244, 590245))
+        types=ENTRY_CODES + EXIT_CODES)
+
+
+@query("scan_history_sets")
+def scan_history_sets(spark, sf):
+    people = fx.persons(spark, sf)
+    persons = [r.person_id for r in people.filter("person_id <= '00000000-0000-4000-9000-000000000099'").select(
+        "person_id").distinct().orderBy("person_id").collect()]
+    return ev.scan_history(
+        fx.star_rows(spark, sf), dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), types=ENTRY_CODES,
+        territories=[f"00000000-0000-4000-a300-{i:012d}" for i in range(6)],
+        orgs=[f"00000000-0000-4000-a200-{i:012d}" for i in range(12)], persons=persons, people=people)
 
 
 @query("prepare_export")
@@ -301,9 +313,14 @@ def identity_matches(spark, sf):
     return star.match_identities(fx.persons(spark, sf), *fx.SOURCES)
 
 
+@query("identity_numbers")
+def identity_numbers(spark, sf):
+    return star.match_numbers(fx.persons(spark, sf), *fx.SOURCES)
+
+
 @query("identity_matches_top")
 def identity_matches_top(spark, sf):
-    return star.top_matches(star.match_identities(fx.persons(spark, sf), *fx.SOURCES))
+    return star.top_matches(fx.persons(spark, sf), *fx.SOURCES)
 
 
 @query("identity_applied")
@@ -387,6 +404,11 @@ def point_history(spark, sf):
         "event_dt", "event_guid", "territory_id", "shown_name")
 
 
+@query("event_listing")
+def event_listing(spark, sf):
+    return lookups.listing(_named(spark, sf))
+
+
 @query("find_people")
 def find_people(spark, sf):
     return lookups.find_people(fx.persons(spark, sf), first="BUILDING", middle="M3").select(
@@ -408,6 +430,26 @@ def events_insert_ignore(spark, sf):
     return loads.append_if_absent(_held(spark, sf), rows.unionByName(rows))
 
 
+@query("insert_ignore_count")
+def insert_ignore_count(spark, sf):
+    rows, path = fx.star_rows(spark, sf), scratch_path(spark, "insert")
+    _held(spark, sf).write.parquet(path)
+    n = loads.insert_ignore(spark, path, rows.unionByName(rows))
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"), F.lit(n).cast("long").alias("n_inserted"))
+
+
+@query("stream_load")
+def stream_load(spark, sf):
+    schema = fx.table(spark, sf, "events").schema
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    rows = fx.shape_events(raw).drop("site_id", "territory_name")
+    path = scratch_path(spark, "watermark")
+    # one batch, so that no event is late
+    loader.stream_load(rows.unionByName(rows)).writeStream.format("parquet").option("path", f"{path}/table").option(
+        "checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/table")
+
+
 @query("persons_upsert")
 def persons_upsert(spark, sf):
     people = fx.persons(spark, sf).drop("site_id", "department_name")
@@ -479,9 +521,27 @@ def decode_star_xml(spark, sf):
     return payloads.decode_star_events(payloads.parse_event_payload(fx.star_payloads(spark, sf)))
 
 
+@query("decode_star_rough")
+def decode_star_rough(spark, sf):
+    rows = payloads.decode_star_events(payloads.parse_event_payload(fx.rough_payloads(spark, sf)))
+    return rows.select("source_id", "event_guid", "event_dt")
+
+
+@query("star_decode_counts")
+def star_decode_counts(spark, sf):
+    return payloads.count_star_events(payloads.parse_event_payload(fx.rough_payloads(spark, sf)))
+
+
+@query("event_files")
+def event_files(spark, sf):
+    path = scratch_path(spark, "event-files")
+    fx.star_payloads(spark, sf).select("payload").write.text(path)
+    return payloads.decode_star_events(payloads.read_event_files(spark, path, multi_line=False))
+
+
 @query("decode_persons")
 def decode_persons(spark, sf):
-    return payloads.decode_persons(fx.member_payloads(spark, sf))
+    return payloads.decode_persons(fx.member_payloads(spark, sf), synced_at=F.lit(dt.datetime(2024, 2, 1)))
 
 
 @query("decode_persons_by_number")
@@ -496,8 +556,7 @@ def decode_reference(spark, sf):
 
 @query("decode_org_units")
 def decode_org_units(spark, sf):
-    units = fx.member_payloads(spark, sf).filter(F.col("pos") == 0)
-    return payloads.decode_org_units(units)
+    return payloads.decode_org_units(fx.member_payloads(spark, sf))
 
 
 @query("decode_transaction_types")
@@ -523,6 +582,25 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
     return fx.json_texts(spark, sf).select("pos", F.try_parse_json("text").alias("record"))
 
 
+@query("json_pages_files")
+def json_pages_files(spark, sf):
+    path = scratch_path(spark, "pages")
+    fx.json_texts(spark, sf).select(F.concat(F.lit('{"data":['), F.col("text"), F.lit("]}"))).write.text(path)
+    return files.read_json_pages(spark, path).select(
+        F.try_variant_get("record", "$.k", "int").alias("k"), F.try_variant_get("record", "$.meta.user", "bigint").alias("user_id"))
+
+
+@query("json_nested")
+def json_nested(spark, sf):
+    return profile.json_nested(_records(spark, sf))
+
+
+@query("json_profile_nested")
+def json_profile_nested(spark, sf):
+    rows = fx.nested_json_texts(spark, sf).select("pos", F.try_parse_json("text").alias("record"))
+    return profile.json_field_profile(rows)
+
+
 @query("json_profile")
 def json_profile(spark, sf):
     return profile.json_field_profile(_records(spark, sf))

@@ -54,37 +54,11 @@ STAR_FIELDS = (
     "event_guid", "event_dt", "transaction_type_id", "person_id", "territory_ids", "card_code",
 )
 
-# Event-field catalogue, field name and the id the source knows it by.
-EVENT_FIELDS = {
-    "event_date": "71b03d7b-2e11-47cd-bf47-adaf320aeb10",
-    "event_time": "c7ad4f51-d8af-4944-bf92-23714715147e",
-    "event_datetime": "2c5ee108-28e3-4dcc-8c95-7f3222d8e67f",
-    "transaction_code_10": "57ca38e4-ed6f-4d12-adcb-2faa16f950d7",
-    "transaction_code_hex": "c4ae9465-8375-4169-ba61-eb7e365a7352",
-    "transaction_name": "d1847aff-11aa-4ef2-aaaa-795ceefe5f9f",
-    "territory_name": "633904b5-971b-4751-96a0-92dc03d5f616",
-    "territory_ids": "42dab9c6-5d30-4030-8ccd-2cad6fcbc5f2",
-    "zone_name": "4c5807cb-2c06-4725-9243-747e40c41d6c",
-    "part_name": "2ab38696-1e30-4e04-a956-b951cb7c2033",
-    "workstation": "89c9d5ac-6e13-4715-a524-7c3b34931385",
-    "person_id": "7c6d82a0-c8c8-495b-9728-357807193d23",
-    "person_fullname": "1bf8a893-7d21-4c0c-9a2d-2e333a2d769d",
-    "person_fullname_alt": "68ef9fd3-a72d-4520-9c63-5c37b0ae8539",
-    "person_lastname": "0de358e0-c91b-4333-b902-000000000003",
-    "person_firstname": "0de358e0-c91b-4333-b902-000000000001",
-    "person_middlename": "0de358e0-c91b-4333-b902-000000000002",
-    "tab_number": "0de358e0-c91b-4333-b902-000000000006",
-    "department": "0de358e0-c91b-4333-b902-000000000004",
-    "department_desc": "0a679144-d5ce-476d-a56e-0a696f079b71",
-    "organization": "0de358e0-c91b-4333-b902-000000000009",
-    "access_group": "0de358e0-c91b-4333-b902-00000000000a",
-    "card_code": "0de358e0-c91b-4333-b902-000000000005",
-    "card_valid_from": "0de358e0-c91b-4333-b902-000000000007",
-    "card_valid_to": "0de358e0-c91b-4333-b902-000000000008",
-    "operator": "fea92e1c-e07d-4932-a6a1-e8c53e3087d9",
-    "details": "03ceb65f-dcad-4b56-94b8-be9fdb463988",
-    "summary": "e5ac823f-c4f6-48e7-bebe-e6d44c57c7ad",
-    "heading": "99914915-c882-4d11-80ff-57acdc6cc015",
-    "message": "2f4a647e-4d9e-48ad-bf11-b1e49ffeac7f",
-    "operator_comments": "66aa3a39-c866-4f34-9e99-e75f9918eae7",
-}
+# Event-field catalogue.
+EVENT_FIELDS = (
+    "event_date", "event_time", "event_datetime", "transaction_code_10", "transaction_code_hex", "transaction_name",
+    "territory_name", "territory_ids", "zone_name", "part_name", "workstation", "person_id", "person_fullname",
+    "person_fullname_alt", "person_lastname", "person_firstname", "person_middlename", "tab_number", "department",
+    "department_desc", "organization", "access_group", "card_code", "card_valid_from", "card_valid_to", "operator",
+    "details", "summary", "heading", "message", "operator_comments",
+)

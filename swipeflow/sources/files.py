@@ -87,7 +87,13 @@ def records_of_pages(pages: DataFrame, limit: int | None = None) -> DataFrame:
     return rows if limit is None else rows.limit(limit)
 
 
-def write_schema_text(profile: DataFrame, path: str) -> None:
-    """One line per field, ``field: schema``; a profile has one row per field, so one file is enough."""
-    lines = profile.select(F.concat_ws(": ", "field", "schema").alias("value"))
-    lines.orderBy("value").coalesce(1).write.mode("errorifexists").text(path)
+def write_schema_text(profile: DataFrame, path: str, nested: DataFrame | None = None) -> None:
+    """One line per field, ``field: schema``, then one per nested key, ``field.key: schema``, if given.
+
+    A profile has one row per field, so one file is enough.
+    """
+    lines = profile.select(F.lit(0).alias("part"), F.concat_ws(": ", "field", "schema").alias("value"))
+    if nested is not None:
+        keyed = F.concat(F.concat_ws(".", "field", "key"), F.lit(": "), F.col("schema"))
+        lines = lines.union(nested.select(F.lit(1), keyed))
+    lines.orderBy("part", "value").coalesce(1).select("value").write.mode("errorifexists").text(path)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swipeflow.functions import times, values
-from swipeflow.schemas import PILOT_FIELDS
+from swipeflow.schemas import PILOT_FIELDS, STAR_FIELDS
 
 # An element holds either text or a list of ids; this schema keeps positions of empty elements.
 _VALUES = "Values struct<anyType:array<struct<_VALUE:string,guid:array<string>>>>"
@@ -22,9 +22,13 @@ _TERRITORY = (
 _TRANSACTION = "ID string, NAME string, CLASS_MASK string"
 
 
-def read_event_files(spark: SparkSession, path: str) -> DataFrame:
-    """Landed event files as rows with the positional values; large files are split by Spark."""
-    raw = spark.read.format("xml").option("rowTag", "EventObject").schema(_VALUES).load(path)
+def read_event_files(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Landed event files as rows with the positional values.
+
+    Files with one EventObject on each line (``multi_line=False``) are split by Spark; one with line ends
+    inside its elements is read whole.
+    """
+    raw = spark.read.format("xml").option("rowTag", "EventObject").option("multiLine", multi_line).schema(_VALUES).load(path)
     return raw.select(F.col("Values.anyType").alias("items"))
 
 
@@ -71,12 +75,9 @@ def decode_pilot_events(parsed: DataFrame, tz_hours: int = 3) -> DataFrame:
     )
 
 
-_STAR_FIELDS = ("event_guid", "event_dt", "transaction_type_id", "person_id", "territory_ids", "card_code")
-
-
 def decode_star_events(parsed: DataFrame) -> DataFrame:
     """Typed events of the two-source layout: rows without id or readable time are left out (see count_star_events)."""
-    named = decode_events(parsed, _STAR_FIELDS, drop_missing=True)
+    named = decode_events(parsed, STAR_FIELDS, drop_missing=True)
     typed = named.withColumns({
         "event_dt": times.parse_iso_utc(F.col("event_dt")),
         "transaction_type_id": values.to_int(F.col("transaction_type_id")),
@@ -105,12 +106,14 @@ def _members(raw: DataFrame, schema: str, payload: str) -> DataFrame:
         *keep, *[F.nullif(values.trimmed(F.col(f"_parsed.{n}")), F.lit("")).alias(n) for n in names])
 
 
-def decode_persons(raw: DataFrame, rule: str = "org_id", payload: str = "payload") -> DataFrame:
+def decode_persons(raw: DataFrame, rule: str = "org_id", payload: str = "payload",
+                   synced_at: Column | None = None) -> DataFrame:
     """Persons with their department name, from one mixed list of org units and persons.
 
     ``rule`` tells persons from units: "org_id" (a valid unit id is present)
     or "tab_num" (a number is present). ``raw`` holds source_id and pos, the
-    document position; of units with one id the last one names it.
+    document position; of units with one id the last one names it. With ``synced_at`` (such as
+    ``current_timestamp()``) the rows carry when they were taken.
     """
     members = _members(raw, _MEMBER, payload)
     if rule == "org_id":
@@ -137,7 +140,8 @@ def decode_persons(raw: DataFrame, rule: str = "org_id", payload: str = "payload
     )
     if rule == "org_id":
         persons = persons.filter(F.col("person_id").isNotNull())
-    return department_lookup(persons, units)
+    named = department_lookup(persons, units)
+    return named if synced_at is None else named.withColumn("synced_at", synced_at)
 
 
 def department_lookup(persons: DataFrame, units: DataFrame) -> DataFrame:
@@ -146,7 +150,8 @@ def department_lookup(persons: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def decode_org_units(raw: DataFrame, payload: str = "payload") -> DataFrame:
-    return _members(raw, _MEMBER, payload).select(
+    """Units of a mixed list of org units and persons; persons are the members with a unit of their own."""
+    return _members(raw, _MEMBER, payload).filter(F.col("ORG_ID").isNull()).select(
         "source_id",
         values.to_uuid(F.col("ID"), False).alias("id"),
         F.col("NAME").alias("name"),

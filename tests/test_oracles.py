@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from swipeflow.plans.oracles import ORACLES
+from swipeflow.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -36,6 +38,7 @@ def canonical(rows, names):
 
 def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
