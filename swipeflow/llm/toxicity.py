@@ -19,6 +19,7 @@ lexicon is empty and every score is the share of toxic labels (0 if there is non
 from __future__ import annotations
 
 import re
+import string
 import unicodedata
 import zlib
 from collections import Counter
@@ -61,9 +62,17 @@ EXCEPTIONS = (
 _INVISIBLE = dict.fromkeys([0x00AD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 _TRANSLATE = str.maketrans(LOOKALIKES) | _INVISIBLE
 _SIGNS = str.maketrans(IN_WORDS)
-_MIXED = re.compile(r"(?<![\w$@|])(?=[\w$@|]*[^\W\d_])(?=[\w$@|]*[0-9$@|])[\w$@|]+")
+_ODD_LETTER = re.compile("[" + "".join(LOOKALIKES) + "".join(map(chr, _INVISIBLE)) + "]")
+_SIGN = re.compile("[0-9$@|]")
+_TOKEN = re.compile(r"[\w$@|]+")
+_BREAKS = string.punctuation + "\t\n\r\x0b\x0c"
+_OTHER_BREAK = re.compile(r"[^\w ]")
 _NO_WORD = re.compile(r"[\W_]+")
-_L = str.maketrans("l", "i")
+
+
+def _read_signs(match: re.Match) -> str:
+    token = match[0]
+    return token.translate(_SIGNS) if _SIGN.search(token) and any(c.isalpha() for c in token) else token
 
 
 def fold(text: str) -> str:
@@ -71,10 +80,18 @@ def fold(text: str) -> str:
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)
     text = text.lower()
-    if not text.isascii():
+    # each step only where there is something for it to do: most texts need none
+    if not text.isascii() and _ODD_LETTER.search(text):
         text = text.translate(_TRANSLATE)
-    text = _MIXED.sub(lambda m: m[0].translate(_SIGNS), text)
-    return f" {_NO_WORD.sub(' ', text).strip()} ".translate(_L)
+    if _SIGN.search(text):
+        text = _TOKEN.sub(_read_signs, text)
+    for mark in _BREAKS:
+        text = text.replace(mark, " ")
+    if _OTHER_BREAK.search(text):
+        text = _NO_WORD.sub(" ", text)
+    while "  " in text:
+        text = text.replace("  ", " ")
+    return f" {text.strip()} ".replace("l", "i")
 
 
 def patterns(folded: str) -> set[str]:
