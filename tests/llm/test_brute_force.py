@@ -152,7 +152,7 @@ def test_pii_terms_that_reveal(spark):
 
     places = ["near the old harbour", "at our second office", "during last summer fair", "beside a quiet river"]
     rows = [(i, f"Ask Zbigniew {p} or write zb@x.org about it, said number {w}.") for i, (p, w) in enumerate(zip(places, "one two three four".split()))]
-    rows += [(10 + i, f"The harbour office was quiet, they said about number {i}.") for i in range(60)]
+    rows += [(10 + i, f"Ask or write about it, said the office near the harbour of number {i}.") for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     marked = {r.doc_id: r.spans for r in pii.found(df).collect()}
     assert marked[0].split(",")[0] == "term:4:12" and "email" in marked[0] and marked[12] == ""
