@@ -26,17 +26,29 @@ def first_per_key(batch: DataFrame, key: Sequence[str], order: Sequence[str] = (
 
 
 def append_if_absent(target: DataFrame, batch: DataFrame, key: Sequence[str] = EVENT_KEY,
-                     order: Sequence[str] = ()) -> DataFrame:
+                     order: Sequence[str] = (), fixed_time: str | None = None) -> DataFrame:
     """Batch rows whose key the target lacks, one per key (insert, on conflict do nothing).
 
     The target is only probed for the batch's keys: a batch Spark measures
-    small is broadcast and the large target is not shuffled.
+    small is broadcast and the large target is not shuffled. A caller who knows that
+    a key never comes back with another time names that column in ``fixed_time``;
+    of the target only the batch's time range (and its months) is then read.
     """
     rows = first_per_key(batch, key, order)
+    if fixed_time is not None:
+        ends = batch.agg(F.min(fixed_time).alias("low"), F.max(fixed_time).alias("high"))
+        low, high = ends.select("low").scalar(), ends.select("high").scalar()
+        target = _since(target, low, fixed_time).filter(F.col(fixed_time) <= high)
     present = target.select(*key).join(rows.select(*key), list(key), "left_semi")
     return rows.join(present, list(key), "left_anti")
 
 
+def _since(events: DataFrame, start: Column, time: str = "event_dt") -> DataFrame:
+    """Rows from ``start`` on; in a table partitioned by month, from its month on."""
+    out = events.filter(F.col(time) >= start)
+    return out.filter(F.col("month") >= F.date_format(start, "yyyy-MM")) if "month" in events.columns else out
+
+
 def insert_ignore(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str] = EVENT_KEY,
                   order: Sequence[str] = ()) -> int:
     """Appends the new rows to a parquet table and returns how many were written."""
@@ -86,28 +98,34 @@ def append_export(df: DataFrame, path: str, existing: DataFrame | None = None,
 
 
 def incremental_load(target: DataFrame, source: DataFrame, lookback_hours: int = 25,
-                     key: Sequence[str] = EVENT_KEY, sources: Sequence[str] | None = None) -> DataFrame:
+                     key: Sequence[str] = EVENT_KEY, sources: Sequence[str] | None = None,
+                     fixed_time: str | None = None) -> DataFrame:
     """New rows of every source since its high-water mark less the lookback; sources without history are skipped.
 
     ``sources`` lists the configured sources; the marks then hold at most that
-    many rows, and are broadcast on that ground.
+    many rows, and are broadcast on that ground. The oldest mark bounds the scan of ``source``.
     """
-    marks = max_event_time(target if sources is None else target.filter(F.col("source_id").isin(*sources)))
+    if sources is not None:
+        target, source = (df.filter(F.col("source_id").isin(*sources)) for df in (target, source))
+    marks = max_event_time(target)
+    oldest = marks.select(F.min("max_event_dt")).scalar() - F.expr(f"INTERVAL {lookback_hours} HOURS")
     if sources is not None:
         marks = F.broadcast(marks)
-    recent = source.join(marks, "source_id", "inner").filter(
+    recent = _since(source, oldest).join(marks, "source_id", "inner").filter(
         F.col("event_dt") >= F.col("max_event_dt") - F.expr(f"INTERVAL {lookback_hours} HOURS")
     ).drop("max_event_dt")
-    return append_if_absent(target, recent.select(*source.columns), key)
+    return append_if_absent(target, recent.select(*source.columns), key, fixed_time=fixed_time)
 
 
 def lookback_load(target: DataFrame, source: DataFrame, days: int = 2,
-                  as_of: dt.datetime | Column | None = None, key: Sequence[str] = EVENT_KEY) -> DataFrame:
+                  as_of: dt.datetime | Column | None = None, key: Sequence[str] = EVENT_KEY,
+                  fixed_time: str | None = None) -> DataFrame:
     """New rows since midnight UTC ``days`` before ``as_of`` (default: the newest source row)."""
     end = source.select(F.max("event_dt")).scalar() if as_of is None else (
         as_of if isinstance(as_of, Column) else F.lit(as_of))
     start = F.date_trunc("day", end - F.expr(f"INTERVAL {days} DAYS"))
-    return append_if_absent(target, source.filter(F.col("event_dt").between(start, end)), key)
+    recent = _since(source, start).filter(F.col("event_dt") <= end)
+    return append_if_absent(target, recent, key, fixed_time=fixed_time)
 
 
 def day_series(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:

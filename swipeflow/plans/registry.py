@@ -450,6 +450,12 @@ def stream_load(spark, sf):
     return spark.read.parquet(f"{path}/table")
 
 
+@query("insert_ignore_by_time")
+def insert_ignore_by_time(spark, sf):
+    recent = fx.star_rows(spark, sf).filter(F.col("event_dt") >= F.lit(dt.datetime(2024, 1, 15)))
+    return loads.append_if_absent(_held(spark, sf), recent, fixed_time="event_dt")
+
+
 @query("persons_upsert")
 def persons_upsert(spark, sf):
     people = fx.persons(spark, sf).drop("site_id", "department_name")

@@ -22,11 +22,12 @@ def stream_load(stream: DataFrame, watermark: str = "25 hours", key: Sequence[st
 
 
 def start_insert_ignore(stream: DataFrame, target: str, checkpoint: str,
-                        key: Sequence[str] = EVENT_KEY) -> StreamingQuery:
+                        key: Sequence[str] = EVENT_KEY, fixed_time: str | None = None) -> StreamingQuery:
     """Appends each micro-batch's new events to a parquet table; processes what is there, then stops.
 
     Copies of a key collapse map-side inside the batch, and the rest is matched
     against the table, so a micro-batch that is run again after a failure adds nothing twice.
+    With ``fixed_time`` (see append_if_absent) a micro-batch reads its own time range of the table only.
     """
 
     # An empty first write gives the table its schema, so that the first batch can read it too.
@@ -35,7 +36,7 @@ def start_insert_ignore(stream: DataFrame, target: str, checkpoint: str,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         held = batch.sparkSession.read.schema(batch.schema).parquet(target)
-        append_if_absent(held, batch, key).write.mode("append").parquet(target)
+        append_if_absent(held, batch, key, fixed_time=fixed_time).write.mode("append").parquet(target)
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

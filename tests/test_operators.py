@@ -298,6 +298,22 @@ def test_lookback_starts_at_midnight(spark):
     assert [r.event_guid for r in got.collect()] == ["g1"]
 
 
+def test_loads_read_the_months_they_need(spark):
+    path = scratch_path(spark, "months")
+    rows = [("msk", f"g{m}", dt.datetime(2026, m, 10), 590144, "p", "t", "c") for m in range(1, 7)]
+    held = spark.createDataFrame(rows, schemas.STAR_EVENTS)
+    files.write_events(held, path)
+    table = spark.read.parquet(path)
+    batch = spark.createDataFrame([("msk", "g5", dt.datetime(2026, 5, 10), 590144, "p", "t", "c"),
+                                   ("msk", "new", dt.datetime(2026, 6, 11), 590144, "p", "t", "c")], schemas.STAR_EVENTS)
+    out = loads.append_if_absent(table, batch, fixed_time="event_dt")
+    assert [r.event_guid for r in out.collect()] == ["new"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "Subquery" in plan
+    recent = loads.incremental_load(held.filter("event_guid < 'g4'"), table.drop("month"), lookback_hours=1, sources=["msk"])
+    assert sorted(r.event_guid for r in recent.collect()) == ["g4", "g5", "g6"]
+
+
 def test_csv_keeps_line_ends_quotes_and_backslashes(spark):
     texts = ["a\nb", "\r\n", 'say "x", y', "back\\slash \\n", "\\\\n\n\\", "", None, "\\r\r"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
