@@ -41,9 +41,19 @@ def shared_folder(spark: SparkSession) -> str:
     return (base or context.getCheckpointDir()).rstrip("/")
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/swipeflow/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/swipeflow/{name}-{uuid.uuid4().hex}"
+    return f"{_own_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes this application's scratch tables; results that still read them must have been written before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def config_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:

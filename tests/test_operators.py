@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from swipeflow import schemas
 from swipeflow.operators import events as ev
 from swipeflow.operators import loads, lookups, profile, quality, reports, star, territory
-from swipeflow.session import scratch_path
+from swipeflow.session import clear_scratch, scratch_path
 from swipeflow.sources import files, payloads
 from swipeflow.streaming import loader
 
@@ -314,6 +314,15 @@ def test_loads_read_the_months_they_need(spark):
     assert sorted(r.event_guid for r in recent.collect()) == ["g4", "g5", "g6"]
 
 
+def test_scratch_is_cleared(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_csv_keeps_line_ends_quotes_and_backslashes(spark):
     texts = ["a\nb", "\r\n", 'say "x", y', "back\\slash \\n", "\\\\n\n\\", "", None, "\\r\r"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
