@@ -120,8 +120,9 @@ def revealing_terms(marked: DataFrame, docs: DataFrame, support: int = SUPPORT,
         F.count("*").alias("contexts"), F.sum("n").alias("together")).filter(F.col("contexts") >= support)
     together = saved(together, "pii-pairs")
     terms = together.select("term").distinct()
-    term_docs = docs.select(F.explode(F.array_distinct(words(F.lower("text")))).alias("term")).join(terms, "term").groupBy("term").agg(
-        F.count("*").alias("term_docs"))
+    # counted before the join: a task sends each word it saw once, however common it is
+    term_docs = docs.select(F.explode(F.array_distinct(words(F.lower("text")))).alias("term")).groupBy("term").agg(
+        F.count("*").alias("term_docs")).join(terms, "term")
     entity_docs = marked.select("row", F.explode(F.array_distinct(F.transform("spans", lambda s: F.lower(s["value"])))).alias("entity")).groupBy(
         "entity").agg(F.count("*").alias("entity_docs"))
     counted = together.join(term_docs, "term").join(entity_docs, "entity").withColumn("n", F.lit(docs.count()))
