@@ -314,6 +314,19 @@ def test_loads_read_the_months_they_need(spark):
     assert sorted(r.event_guid for r in recent.collect()) == ["g4", "g5", "g6"]
 
 
+def test_xml_is_parsed_once(spark):
+    """Conditions on decoded columns stay above the parse, also those of later steps."""
+    from swipeflow.plans import fixtures as fx
+    from swipeflow.plans.registry import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    pilot = payloads.decode_pilot_events(payloads.parse_event_payload(fx.event_payloads(spark, sf)))
+    for df, scans in ((ev.keep_valid_events(pilot, fx.zones(spark)), 1), (QUERIES["decode_star_xml"](spark, sf), 1),
+                      (QUERIES["decode_persons"](spark, sf), 2)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.lower().count("from_xml(") == scans
+
+
 def test_scratch_is_cleared(spark):
     path = scratch_path(spark, "gone")
     spark.range(3).write.parquet(path)
