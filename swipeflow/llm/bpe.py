@@ -38,12 +38,13 @@ def _positions(buckets: int):
         place = index.setdefault
         counts = np.empty(len(texts), np.int64)
         parts = []
-        for i, text in enumerate(texts):
-            words = text.split()
+        for i in range(len(texts)):
+            words, texts[i] = texts[i].split(), b""
             counts[i] = len(words)
             parts.append(np.array([place(w, len(index)) for w in words], dtype=np.uint32))
         codes = np.concatenate(parts) if parts else np.empty(0, np.uint32)
         words = list(index)
+        del index, place, parts
         owner = np.fromiter((zlib.crc32(w) % buckets for w in words), np.uint32, len(words))
         # frequent words get small numbers; among equally frequent ones owners and letters are in order, which packs well
         order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
@@ -124,7 +125,7 @@ def _join_back(pieces):
                 yield from one(ids, counts, packs.from_code_bytes(*codes), packs.from_planes(owner, np.uint32),
                                answers[i].as_py())
 
-    return run
+    return packs.lean(run)
 
 
 def piece_table(tokenizer_json: str) -> list[str]:

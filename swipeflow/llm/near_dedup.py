@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swipeflow.llm.links import components
+from swipeflow.llm.packs import lean
 from swipeflow.llm.tables import raw_texts, saved
 
 REGISTERS = 128
@@ -48,7 +49,7 @@ class WordHashes(dict):
     """Hashes of words, kept while they recur."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -123,7 +124,7 @@ def _sketches(k: int):
                     [ids.slice(at, 2000), pa.array(counts, pa.int64()), pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64()))],
                     names=["doc_id", "n_shingles", "set_key", "bands"])
 
-    return run
+    return lean(run)
 
 
 def _sets(k: int):
@@ -136,7 +137,7 @@ def _sets(k: int):
                  pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([sketch(s).tobytes() for s in sets], pa.binary())],
                 names=["node", "component", "blocks", "block", "hashes", "registers"])
 
-    return run
+    return lean(run)
 
 
 def _links(percent: int):

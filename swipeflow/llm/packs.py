@@ -5,6 +5,7 @@ A cell holds what one map task saw, so its size is bounded by the chunk and not
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 from collections.abc import Callable, Iterable, Iterator
 
@@ -20,6 +21,25 @@ SCHEMA = "chunk string, bucket int, payload binary"
 CHUNK = -1
 
 
+def release() -> None:
+    """Gives freed memory back to the system: Spark keeps Python workers for the next tasks, with what they hold."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(run: Callable) -> Callable:
+    """A mapInArrow function that releases memory when its task is done."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return wrapped
+
+
 def pack(value: object, level: int = 3) -> bytes:
     return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(value, protocol=5))
 
@@ -86,7 +106,7 @@ def from_chunks(make: Callable[[list, list[bytes]], Iterator[tuple[int, bytes]]]
         for n, (ids, held) in enumerate(chunks(batches, size)):
             yield cells([(f"{task}-{n}", bucket, payload) for bucket, payload in make(ids, held)])
 
-    return run
+    return lean(run)
 
 
 def by_owner(cells_table: DataFrame, own: Callable[[list[tuple[str, object]]], list[object]], level: int = 3) -> DataFrame:
@@ -98,7 +118,10 @@ def by_owner(cells_table: DataFrame, own: Callable[[list[tuple[str, object]]], l
         order = sorted(range(len(names)), key=names.__getitem__)
         payloads = group.column("payload")
         answers = own([(names[i], unpack(payloads[i].as_py())) for i in order])
-        return pa.Table.from_batches([cells([(names[i], bucket, pack(a, level)) for i, a in zip(order, answers)])])
+        out = pa.Table.from_batches([cells([(names[i], bucket, pack(a, level)) for i, a in zip(order, answers)])])
+        del answers, payloads, group
+        release()
+        return out
 
     return cells_table.groupBy("bucket").applyInArrow(run, SCHEMA)
 
