@@ -2,7 +2,9 @@
 
 A text is split into sentences, which are normalised (lower case, words and version numbers only). A table
 maps normalised sentences to identifiers of known licence sentences; the first entry that fits counts. The
-identifiers of a text, in order, form a sequence. Rules name a licence by a sequence of identifiers that
+identifiers of a text, in order, form a sequence. A sentence ends at a stop or at the end of its line; where known
+sentences cross line ends, as in wrapped texts, all lines up to a stop or blank line are one piece that gives each
+known sentence it holds, in order. Rules name a licence by a sequence of identifiers that
 follow each other, longest first; identifiers that a rule has used are not used again. Sentences that speak
 of a licence but are not known are counted as unknown.
 
@@ -110,6 +112,10 @@ RULES = (
 #: A text without any of these has no licence sentence; a sentence with one that is not known is unknown.
 HINT = r"(?i)licen[cs]e|copyright|permission|warrant|redistribut|public domain|creative commons|\bcc[ -]by|\bcc0|\ball rights reserved|\b[al]?gpl|later version|provided as is"
 _END = r"(?:[.!?]+[\x20\x09]+|[\x20\x09]*[\n\r]+)"
+#: As HINT, with words that may be on different lines.
+_WRAPPED_HINT = HINT.replace("[ -]", " ").replace(" ", "[^A-Za-z0-9]+")
+#: Stops, and lines with no more than a comment's leader, which sentences do not cross.
+_HARD_END = r"(?:[.!?]+(?:[\x20\x09]+|[\n\r]+)|(?:\r\n?+|\n)[\x20\x09*#/;-]*(?:\r\n?+|\n))"
 
 
 def normalised(sentence: Column) -> Column:
@@ -124,6 +130,33 @@ def _identifier(sentence: Column) -> Column:
     return found
 
 
+def _held(piece: Column) -> Column:
+    """Identifiers of the known sentences in a normalised piece, in order; a sentence overlapping an earlier entry's is none."""
+    for name, pattern in SENTENCES:
+        # names are upper case at the start and braced: no pattern matches or crosses them
+        piece = F.regexp_replace(piece, pattern.replace(".*", "[^{}\\n]*"), f"{{{name}}}")
+    return F.regexp_extract_all(piece, F.lit(r"\{(\w+)\}"), F.lit(1))
+
+
+def _identifiers(text: Column) -> Column:
+    """The identifiers of a text in order, "?" for unknown sentences."""
+    def by_line(piece: Column) -> Column:
+        sentences = F.filter(F.split(piece, _END), lambda s: s.rlike(HINT))
+        return F.transform(F.transform(sentences, normalised), lambda s: F.coalesce(_identifier(s), F.lit("?")))
+
+    none = F.array().cast("array<string>")
+
+    def lines(piece: Column) -> Column:
+        return F.when(piece.rlike(r"[\n\r]") & piece.rlike(_WRAPPED_HINT), F.transform(F.split(piece, r"[\n\r]+"), normalised)).otherwise(none)
+
+    pieces = F.filter(F.split(text, _HARD_END), lambda p: p.rlike(_WRAPPED_HINT))
+    held = F.transform(F.transform(pieces, lambda p: F.struct(p.alias("piece"), lines(p).alias("lines"))), lambda s: F.struct(
+        s["piece"].alias("piece"), _held(F.array_join(s["lines"], "\n")).alias("apart"), _held(F.array_join(s["lines"], " ")).alias("joined")))
+    # they differ only where a known sentence crosses a line's end
+    found = F.transform(held, lambda s: F.when(s["apart"] == s["joined"], by_line(s["piece"])).otherwise(s["joined"]))
+    return F.when(text.rlike(_WRAPPED_HINT), F.flatten(found)).otherwise(none)
+
+
 def _rule(sequence: str) -> str:
     """A pattern over ",A,B,C,": each identifier with its comma, after the comma before."""
     parts = "".join(f"(?:{name[:-1]},)?" if name.endswith("?") else f"{name}," for name in sequence.split())
@@ -132,9 +165,6 @@ def _rule(sequence: str) -> str:
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_sentences known, n_unknown, sequence of identifiers, licences (each once, in rule order), unmatched."""
-    text = F.col("text")
-    sentences = F.when(text.rlike(HINT), F.filter(F.split(text, _END), lambda s: s.rlike(HINT))).otherwise(F.array().cast("array<string>"))
-    known = F.transform(F.transform(sentences, normalised), lambda s: F.coalesce(_identifier(s), F.lit("?")))
     rules = F.array(*[F.struct(F.lit(name).alias("licence"), F.lit(_rule(sequence)).alias("pattern")) for name, sequence in RULES])
 
     def step(state: Column, rule: Column) -> Column:
@@ -148,7 +178,7 @@ def scan(docs: DataFrame) -> DataFrame:
         return F.concat(F.lit(","), F.array_join(ids, ","), F.lit(","))
 
     start = F.struct(whole(F.col("ids")).alias("rest"), F.array().cast("array<string>").alias("found"))
-    rows = texts(docs).select("doc_id", known.alias("ids")).withColumn(
+    rows = texts(docs).select("doc_id", _identifiers(F.col("text")).alias("ids")).withColumn(
         "matched", F.when(F.size("ids") > 0, F.aggregate(rules, start, step)))
     left = F.filter(F.split(F.coalesce("matched.rest", F.lit("")), ","), lambda x: (x != "") & (x != "?"))
     return rows.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from swipeflow.llm import line_dedup
+from swipeflow.llm import license_scan, line_dedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,3 +34,62 @@ def test_op7_whole_runs(spark):
     assert {(10**6 + 1, 0), (10**6 + 1, 1)} <= got
     plain = {(r.doc, r.raw) for r in line_dedup.repeated_lines(df).collect()}
     assert plain < got and (10**6 + 1, 1) not in plain
+
+
+MIT = """Permission is hereby granted, free of charge, to any person
+obtaining a copy of this software, to deal in it without restriction.
+
+The above copyright notice and this permission notice shall be
+included in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO FITNESS."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice in the documentation.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS
+IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+APACHE = """Licensed under the Apache License, Version
+2.0 (the "License"); you may not use this file except in
+compliance with the License. You may obtain a copy of the License
+at http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY.
+
+You should have received a copy of the GNU General
+Public License along with this program."""
+WRAPPED = {
+    "MIT": (MIT, "MITgrant,MITnotice,MITasIs"), "BSD-3-Clause": (BSD, "BSDgrant,BSDsource,BSDbinary,BSDendorse,BSDasIs"),
+    "Apache-2.0": (APACHE, "Apache2,ApacheCompliance,ApacheObtain,ApacheAsIs,ApacheLanguage,?"),
+    "GPL-3.0-or-later": (GPL, "GPL3,GPLlater,GPLnowarranty,GPLcopy"),
+}
+
+
+@pytest.mark.parametrize("leader", ["", " * ", "# ", "// "])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_op1_wrapped_licences(spark, leader, end):
+    rows = [(i, "Some file." + end + end.join(leader + x for x in text.split("\n"))) for i, (text, _) in enumerate(WRAPPED.values())]
+    rows += [(9, f"MIT License{end}{leader}An unknown licence{end}{leader}BSD License"), (10, f"This is in the public{end}{leader}domain")]
+    found = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (licence, (_, sequence)) in enumerate(WRAPPED.items()):
+        assert (found[i].licences, found[i].sequence) == (licence, sequence)
+    assert found[9].sequence == "MITname,?,BSDname"
