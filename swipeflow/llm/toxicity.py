@@ -7,8 +7,9 @@ pattern " term " is a whole word and " term" the beginning of one.
 The lexicon is learnt from labelled documents: words and word beginnings whose document frequency among toxic
 labels stands out against the others (log odds with smoothing). It is fitted on at most SAMPLE labelled rows
 with the smallest CRC-32 of their doc_id; all texts are then scored whole. A text's strength is the sum of
-the weights it matches, each pattern counted at most REPEATS times, divided by the root of its length beyond
-a free length; matches inside an exception phrase do not count. A logistic curve over the strength, fitted on
+the weights it matches, each as often as its matches divided by the root of the text's length beyond a free
+length, REPEATS at most: a text that goes on in the same words does not lose strength. Matches inside an
+exception phrase do not count. A logistic curve over the strength, fitted on
 the same rows, gives the score.
 
 Null text is empty and scores as a text without a match. Null labels are left out, rows without doc_id are
@@ -131,14 +132,14 @@ class Lexicon:
         if not hits:
             return 0.0
         clear = [(end - n + 1, end) for end, (n, weight, _) in hits if weight is None]
-        total, counts = 0.0, Counter()
+        counts: Counter[str] = Counter()
         for end, (n, weight, pattern) in hits:
             if weight is None or any(a <= end - n + 1 and end <= b for a, b in clear):
                 continue
             counts[pattern] += 1
-            if counts[pattern] <= REPEATS:
-                total += weight
-        return total / max(1.0, folded.count(" ") / FREE_WORDS) ** 0.5
+        root = max(1.0, folded.count(" ") / FREE_WORDS) ** 0.5
+        # the limit holds after the division, so it grows with the length as the divisor does
+        return sum(self.weights[pattern] * min(n / root, REPEATS) for pattern, n in counts.items())
 
     def score(self, strength: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * np.log1p(strength) + self.offset, -30, 30)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from swipeflow.llm import license_scan, line_dedup
+from swipeflow.llm import license_scan, line_dedup, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,3 +93,11 @@ def test_op1_wrapped_licences(spark, leader, end):
     for i, (licence, (_, sequence)) in enumerate(WRAPPED.items()):
         assert (found[i].licences, found[i].sequence) == (licence, sequence)
     assert found[9].sequence == "MITname,?,BSDname"
+
+
+@pytest.mark.parametrize("words", [50, 200, 700])
+def test_op4_longer_texts_keep_their_strength(words):
+    lexicon = toxicity.Lexicon({" idiot ": 4.0, " fooi": 5.0, " scum ": 3.0}, 1.0, 0.0, ())
+    text = " ".join(["idiot", "fool", "scum", "idiot"] * 2 + ["word"] * (words - 8)) + " "
+    strengths = [lexicon.strength(lexicon.automaton(), text * n) for n in (1, 2, 10, 100, 1000)]
+    assert strengths == sorted(strengths) and strengths[0] > 0
