@@ -7,7 +7,8 @@ a smaller doc_id.
    and neighbouring windows mostly share one. Owner tasks tell each chunk of documents which of its anchors
    other documents have too (one bit each); all other windows are unique and stay where they are.
 2. Runs of windows with a shared anchor are the reference. They go to the shard of their anchor: each
-   different run of a chunk once, with the smallest doc_id that has it.
+   different run of a chunk once, with the smallest doc_id that has it. The runs of an anchor that would fill an
+   automaton are sent window by window, each to the shard of the window's own hash: equal windows still meet.
 3. A shard builds suffix automata over its runs. Every state keeps the smallest doc_id among the places where
    its strings end. Matching statistics of the runs then give, for each window, the state of its last 13 words
    and so the first document that has it. The answers go back to the chunks.
@@ -32,7 +33,7 @@ from swipeflow.llm.near_dedup import WordHashes, window_hashes, word_hashes
 from swipeflow.llm.tables import partitions, raw_texts, saved
 
 CHUNK_BYTES = 8_000_000
-#: Words of one suffix automaton, unless a single anchor has more.
+#: Words of one suffix automaton, and words of the runs of one anchor that stay together.
 AUTOMATON_WORDS = 100_000
 #: Words of an anchor.
 ANCHOR = 5
@@ -120,6 +121,10 @@ def _anchors(words: list[bytes], window: int, known: WordHashes) -> np.ndarray:
     return low[:count]
 
 
+def _starts(anchors: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]]) if len(anchors) else np.empty(0, np.int64)
+
+
 def _numbers(ids: list) -> list[int]:
     return [_LAST if i is None else i for i in ids]
 
@@ -127,38 +132,49 @@ def _numbers(ids: list) -> list[int]:
 def _send_anchors(window: int, buckets: int):
     def make(ids: list, texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
         known = WordHashes()
-        found, owners = [], []
+        found, owners, lengths = [], [], []
         for doc, text in zip(_numbers(ids), texts):
-            anchors = np.unique(_anchors(text.split(), window, known))
-            found.append(anchors)
-            owners.append(np.full(len(anchors), doc, np.int64))
+            anchors = _anchors(text.split(), window, known)
+            starts = _starts(anchors)
+            found.append(anchors[starts])
+            owners.append(np.full(len(starts), doc, np.int64))
+            # in runs of the usual length at most
+            lengths.append((np.diff(np.r_[starts, len(anchors)]) + 2 * window - 2) // (2 * window))
         yield packs.CHUNK, packs.pack((ids, texts))
-        anchors, docs = np.concatenate(found), np.concatenate(owners)
+        anchors, docs, length = np.concatenate(found), np.concatenate(owners), np.concatenate(lengths)
         order = np.argsort(anchors, kind="stable")
-        anchors, docs = anchors[order], docs[order]
-        starts = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]]) if len(anchors) else np.empty(0, np.int64)
+        anchors, docs, length = anchors[order], docs[order], length[order]
+        starts = _starts(anchors)
         if not len(starts):
             return
+        runs = np.add.reduceat(length, starts).astype(np.int32)
         several = np.minimum.reduceat(docs, starts) < np.maximum.reduceat(docs, starts)
         distinct = anchors[starts]
         bucket = distinct % np.uint64(buckets)
         for b in np.unique(bucket):
             mine = bucket == b
-            yield int(b), packs.pack((distinct[mine], several[mine]))
+            yield int(b), packs.pack((distinct[mine], several[mine], packs.planes(runs[mine])))
 
     return make
 
 
-def _shared_anchors(cells: list[tuple[str, tuple]]) -> list[object]:
-    anchors = np.concatenate([a for _, (a, _) in cells])
-    several = np.concatenate([s for _, (_, s) in cells])
-    _, inverse, counts = np.unique(anchors, return_inverse=True, return_counts=True)
-    shared = (counts > 1) | (np.bincount(inverse, weights=several) > 0)
-    out, at = [], 0
-    for _, (own, _) in cells:
-        out.append(np.packbits(shared[inverse[at:at + len(own)]]))
-        at += len(own)
-    return out
+def _shared_anchors(window: int):
+    def own(cells: list[tuple[str, tuple]]) -> list[object]:
+        """For each anchor of a cell whether other documents have it, and whether its runs would fill an automaton."""
+        anchors = np.concatenate([a for _, (a, _, _) in cells])
+        several = np.concatenate([s for _, (_, s, _) in cells])
+        runs = np.concatenate([packs.from_planes(r, np.int32) for _, (_, _, r) in cells])
+        _, inverse, counts = np.unique(anchors, return_inverse=True, return_counts=True)
+        shared = (counts > 1) | (np.bincount(inverse, weights=several) > 0)
+        large = np.bincount(inverse, weights=runs) * 2 * window > AUTOMATON_WORDS
+        out, at = [], 0
+        for _, (own, _, _) in cells:
+            mine = inverse[at:at + len(own)]
+            out.append((np.packbits(shared[mine]), np.packbits(large[mine])))
+            at += len(own)
+        return out
+
+    return own
 
 
 class _Runs:
@@ -167,24 +183,32 @@ class _Runs:
     def __init__(self, texts: list[bytes], answers: list[dict], window: int, buckets: int) -> None:
         self.window, self.buckets, known = window, buckets, WordHashes()
         self.words = [t.split() for t in texts]
+        self.known = known
         self.anchors = [_anchors(w, window, known) for w in self.words]
         self.distinct = np.unique(np.concatenate(self.anchors))
-        self.shared = np.zeros(len(self.distinct), bool)
+        self.shared, self.large = np.zeros((2, len(self.distinct)), bool)
         bucket = self.distinct % np.uint64(buckets)
         for answer in answers or []:
             mine = np.flatnonzero(bucket == np.uint64(answer["bucket"]))
-            self.shared[mine] = np.unpackbits(packs.unpack(answer["payload"]), count=len(mine)).astype(bool)
+            self.shared[mine], self.large[mine] = (np.unpackbits(b, count=len(mine)).astype(bool) for b in packs.unpack(answer["payload"]))
 
     def of(self, i: int) -> Iterator[tuple[int, int, int, bytes]]:
-        """(anchor, first window, windows, words) of each run of document i."""
+        """(key of the shard, first window, windows, words) of each run of document i; windows of large anchors are runs of their own."""
         anchors, words = self.anchors[i], self.words[i]
         if not len(anchors):
             return
-        starts = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
+        starts = _starts(anchors)
         ends = np.r_[starts[1:], len(anchors)]
-        live = self.shared[np.searchsorted(self.distinct, anchors[starts])]
-        for s, e, a in zip(starts[live].tolist(), ends[live].tolist(), anchors[starts[live]].tolist()):
-            yield a, s, e - s, b" ".join(words[s:e + self.window - 1])
+        place = np.searchsorted(self.distinct, anchors[starts])
+        live = self.shared[place]
+        large = self.large[place[live]]
+        keys = window_hashes(word_hashes(words, self.known), self.window) if large.any() else None
+        for s, e, a, apart in zip(starts[live].tolist(), ends[live].tolist(), anchors[starts[live]].tolist(), large.tolist()):
+            if apart:
+                for at in range(s, e):
+                    yield int(keys[at]), at, 1, b" ".join(words[at:at + self.window])
+            else:
+                yield a, s, e - s, b" ".join(words[s:e + self.window - 1])
 
 
 def _send_runs(window: int, buckets: int):
@@ -279,7 +303,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, buckets: int | None = None
     """doc_id, n_words, n_removed, kept (the words that stay, joined by blanks, UTF-8) for each row."""
     buckets = buckets or partitions(docs.sparkSession)
     sent = saved(raw_texts(docs).mapInArrow(packs.from_chunks(_send_anchors(window, buckets), chunk_bytes), packs.SCHEMA), "runs-anchors")
-    shared = saved(packs.by_owner(sent.filter(sent["bucket"] != packs.CHUNK), _shared_anchors), "runs-shared")
+    shared = saved(packs.by_owner(sent.filter(sent["bucket"] != packs.CHUNK), _shared_anchors(window)), "runs-shared")
     runs = packs.with_answers(sent, shared).mapInArrow(_send_runs(window, buckets), packs.SCHEMA)
     first = packs.by_owner(runs, _first_documents(window))
     return packs.with_answers(sent, shared, first).mapInArrow(

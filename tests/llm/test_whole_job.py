@@ -5,7 +5,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from swipeflow.llm import license_scan, line_dedup, toxicity
+from swipeflow.llm import license_scan, line_dedup, substring_dedup, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -101,3 +101,44 @@ def test_op4_longer_texts_keep_their_strength(words):
     text = " ".join(["idiot", "fool", "scum", "idiot"] * 2 + ["word"] * (words - 8)) + " "
     strengths = [lexicon.strength(lexicon.automaton(), text * n) for n in (1, 2, 10, 100, 1000)]
     assert strengths == sorted(strengths) and strengths[0] > 0
+
+
+def test_op6_large_anchors(monkeypatch):
+    """A phrase in every document: no automaton takes all its runs, windows still meet."""
+    monkeypatch.setattr(substring_dedup, "AUTOMATON_WORDS", 400)
+    sizes = []
+    close = substring_dedup.SuffixAutomaton.close
+    monkeypatch.setattr(substring_dedup.SuffixAutomaton, "close", lambda self: (sizes.append(max(self.length) and len(self.length)), close(self))[1])
+    window, buckets = 13, 4
+    texts = [" ".join([*(f"a{i % 150}x{j}" for j in range(12)), "as a matter of fact", *(f"b{i % 150}x{j}" for j in range(12))]).encode() for i in range(300)]
+    texts += [b"again and " * 300, b"again and " * 200]
+    chunks = [(list(range(at, min(at + 50, len(texts)))), texts[at:at + 50]) for at in range(0, len(texts), 50)]
+    sent = [list(substring_dedup._send_anchors(window, buckets)(*c)) for c in chunks]
+    cells = {b: [(str(i), substring_dedup.packs.unpack(p)) for i, cs in enumerate(sent) for x, p in cs if x == b] for b in range(buckets)}
+    answers = [[] for _ in chunks]
+    for b, own in cells.items():
+        for (i, _), a in zip(own, substring_dedup._shared_anchors(window)(own)):
+            answers[int(i)].append({"bucket": b, "payload": substring_dedup.packs.pack(a)})
+    owned, large = {}, 0
+    for i, (ids, held) in enumerate(chunks):
+        runs = substring_dedup._Runs(held, answers[i], window, buckets)
+        large += runs.large.sum()
+        for k, doc in enumerate(ids):
+            for key, start, n, text in runs.of(k):
+                owned.setdefault(key % buckets, []).append((key // buckets % 2**31, doc, start, n, text))
+    assert large > 0
+    first, got = {}, set()
+    for own in owned.values():
+        cell = (b"\n".join(t for *_, t in own), substring_dedup.np.array([[s, d] for s, d, *_ in own], substring_dedup.np.int64))
+        found = substring_dedup.packs.from_planes(substring_dedup._first_documents(window)([("0", cell)])[0], substring_dedup.np.int64)
+        at = 0
+        for _, doc, start, n, _ in own:
+            got |= {(doc, start + k) for k in range(n) if found[at + k] < doc}
+            at += n
+    wanted = set()
+    for doc, text in enumerate(texts):
+        words = text.split()
+        for i in range(len(words) - window + 1):
+            if first.setdefault(tuple(words[i:i + window]), doc) < doc:
+                wanted.add((doc, i))
+    assert got == wanted and max(sizes) < 10 * 400
