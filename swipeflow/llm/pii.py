@@ -1,16 +1,15 @@
 """Personal data: base patterns, and terms that reveal a protected value, in built-in expressions only.
 
 Base spans are the leftmost non-overlapping matches of a kind's pattern that pass its check. The values found
-are the protected entities. Words near an entity (its context) are candidate terms. Over the whole corpus,
-df(t) and df(e) are the documents that have a term or an entity and df(t, e) those where t is in a context of
-e. A term discloses by its pointwise mutual information with the entity, relative to the entity's own
+are the protected entities. The words of a document that holds an entity are candidate terms. Over the whole
+corpus, df(t) and df(e) are the documents that have a term or an entity and df(t, e) those that have both. A term discloses by its pointwise mutual information with the entity, relative to the entity's own
 information:
 
     disclosure(t, e) = log(N df(t, e) / (df(t) df(e))) / log(N / df(e))
 
 which is 1 where a term occurs only around the entity and both say the same. Terms at or above a threshold
-are marked in every document that holds the entity. They must occur with it in several different contexts,
-so that copies of one text are no evidence. In a cleaned text base spans become their kind, terms become
+are marked in every document that holds the entity. They must occur with it in documents with several different
+contexts (the words next to the entity's first place), so that copies of one text are no evidence. In a cleaned text base spans become their kind, terms become
 their broader term if one is given, and are removed otherwise.
 
 Null text is empty. Rows are treated one by one, also with equal or missing doc_ids; other columns are
@@ -37,10 +36,10 @@ _HINTS = {
     "email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]",
     "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]",
 }
-#: Letters of a term at least; characters on either side that are a context; words next to an entity that name it.
+#: Letters of a term at least; characters on either side in which to look for a context; words on either side that name it.
 TERM = r"\p{L}{3,}"
 CONTEXT, NAMED_BY = 100, 3
-#: Different contexts that a term must share with an entity, and its least disclosure.
+#: Documents with different contexts that a term must share with an entity, and its least disclosure.
 SUPPORT, DISCLOSURE = 3, 0.75
 _SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 
@@ -105,7 +104,7 @@ def revealing_terms(marked: DataFrame, docs: DataFrame, support: int = SUPPORT,
     marked: row, text, spans of the rows with spans; docs: doc_id, text of all rows.
     """
     mentions = marked.select("row", "text", F.explode("spans").alias("span")).select(
-        "row", F.lower("span.value").alias("entity"),
+        "row", F.lower("span.value").alias("entity"), "span.start",
         F.lower(F.expr(f"substring(text, greatest(span.start - {CONTEXT}, 0) + 1, least(span.start, {CONTEXT}))")).alias("left"),
         F.lower(F.expr(f"substring(text, span.end + 1, {CONTEXT})")).alias("right"), (F.col("span.start") > CONTEXT).alias("cut"))
     words = lambda c: F.regexp_extract_all(c, F.lit(TERM), F.lit(0))
@@ -113,18 +112,21 @@ def revealing_terms(marked: DataFrame, docs: DataFrame, support: int = SUPPORT,
     sides = mentions.withColumn("left", words(F.when(F.col("cut"), F.regexp_replace("left", r"^\p{L}+", "")).otherwise(F.col("left")))).withColumn(
         "right", words(F.when(F.length("right") == CONTEXT, F.regexp_replace("right", r"\p{L}+$", "")).otherwise(F.col("right"))))
     near = F.xxhash64(F.slice(F.reverse("left"), 1, NAMED_BY), F.slice("right", 1, NAMED_BY))
-    pairs = sides.withColumn("context", near).select(
-        "row", "entity", "context", F.explode(F.array_distinct(F.concat("left", "right"))).alias("term")).filter(
-        ~F.contains(F.col("entity"), F.col("term")))
-    together = pairs.groupBy("term", "entity", "context").agg(F.count_distinct("row").alias("n")).groupBy("term", "entity").agg(
+    # one context for each document, that of the entity's first place
+    holders = saved(sides.groupBy("row", "entity").agg(F.min_by(near, F.struct("start", near)).alias("context")), "pii-holders")
+    entity_docs = holders.groupBy("entity").agg(F.count("*").alias("entity_docs"), F.count_distinct("context").alias("contexts")).filter(
+        F.col("contexts") >= support).drop("contexts")
+    # in documents whose entities cannot have that support no pair is made
+    wanted = holders.join(entity_docs.select("entity"), "entity").groupBy("row").agg(F.collect_list(F.struct("entity", "context")).alias("held"))
+    pairs = marked.select("row", "text").join(wanted, "row").select("held", F.explode(F.array_distinct(words(F.lower("text")))).alias("term")).select(
+        "term", F.explode("held").alias("of")).select("term", "of.entity", "of.context").filter(~F.contains(F.col("entity"), F.col("term")))
+    together = pairs.groupBy("term", "entity", "context").agg(F.count("*").alias("n")).groupBy("term", "entity").agg(
         F.count("*").alias("contexts"), F.sum("n").alias("together")).filter(F.col("contexts") >= support)
     together = saved(together, "pii-pairs")
     terms = together.select("term").distinct()
     # counted before the join: a task sends each word it saw once, however common it is
     term_docs = docs.select(F.explode(F.array_distinct(words(F.lower("text")))).alias("term")).groupBy("term").agg(
         F.count("*").alias("term_docs")).join(terms, "term")
-    entity_docs = marked.select("row", F.explode(F.array_distinct(F.transform("spans", lambda s: F.lower(s["value"])))).alias("entity")).groupBy(
-        "entity").agg(F.count("*").alias("entity_docs"))
     counted = together.join(term_docs, "term").join(entity_docs, "entity").withColumn("n", F.lit(docs.count()))
     disclosure = F.log(F.col("n") * F.col("together") / (F.col("term_docs") * F.col("entity_docs"))) / F.log(
         F.greatest(F.col("n") / F.col("entity_docs"), F.lit(1.0 + 1e-9)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from swipeflow.llm import license_scan, line_dedup, substring_dedup, toxicity
+from swipeflow.llm import license_scan, line_dedup, pii, substring_dedup, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -142,3 +142,21 @@ def test_op6_large_anchors(monkeypatch):
             if first.setdefault(tuple(words[i:i + window]), doc) < doc:
                 wanted.add((doc, i))
     assert got == wanted and max(sizes) < 10 * 400
+
+
+def test_op5_terms_far_from_their_entity(spark):
+    gap = " and so on" * 40
+    rows = [(i, f"Dear Zbigniew,{gap} {'one two three four'.split()[i]} is the way to zb@x.org today") for i in range(4)]
+    rows += [(10 + i, f"Dear all,{gap} this is the way today, number {i}") for i in range(40)]
+    marked = {r.doc_id: r.spans for r in pii.found(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(marked[i].startswith("term:5:13,email") and marked[i].count("term") == 1 for i in range(4))
+
+
+def test_op5_documents_are_counted_once(spark):
+    """One document with many contexts is no evidence, and repeats do not raise a common word's disclosure."""
+    words = "alpha beta gamma delta omega sigma kappa lambda".split()
+    rows = [(0, " ".join(f"{w} quorum {w}a zb@x.org {w}b quorum" for w in words))]
+    rows += [(1 + i, f"{w} quorum yy@x.org {w}c" + f" quorum {w} yy@x.org" * 50) for i, w in enumerate("red green blue".split())]
+    rows += [(10 + i, f"quorum number {i}") for i in range(20)] + [(40 + i, f"text number {i}") for i in range(60)]
+    marked = {r.doc_id: r.spans for r in pii.found(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any("term" in spans for spans in marked.values())
