@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swipeflow.llm import (
-    bpe, exact_dedup, fingerprints, license_scan, line_dedup, mixing, near_dedup, pii, substring_dedup, toxicity,
+    bpe, exact_dedup, fingerprints, license_scan, line_dedup, mixing, near_dedup, periodic_runs, pii, simhash, substring_dedup,
+    toxicity, whitening,
 )
 from swipeflow.llm.tables import table
 
@@ -78,3 +79,35 @@ ORACLES: dict[str, str] = {
     "op3_mixing": mixing.ORACLE,
     "op7_line_dedup": line_dedup.ORACLE,
 }
+
+
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id", "n_shingles")
+
+
+def _before(x, y):
+    """Run order of the best-run report: greater length/period (exact), then smaller start, then smaller period."""
+    left, right = x["length"] * y["period"], y["length"] * x["period"]
+    return (F.when(left > right, -1).when(left < right, 1).when(x["start"] < y["start"], -1).when(x["start"] > y["start"], 1)
+            .when(x["period"] < y["period"], -1).when(x["period"] > y["period"], 1).otherwise(0))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.detected(periodic_runs.planted(table(spark, sf_dir, "documents")))
+    best = F.get(F.array_sort("runs", _before), 0)
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(best["length"] * 1000 / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+QUERIES |= {
+    "op11_whitening": op11_whitening,
+    "op12_simhash": op12_simhash,
+    "op13_periodic_runs": op13_periodic_runs,
+}
