@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from swipeflow import schemas
 from swipeflow.functions import times, values
 from swipeflow.operators.events import join_dim, zone_table
+from swipeflow.session import config_table
 from swipeflow.rules import Rules
 from swipeflow.session import config_table
 
@@ -351,3 +352,26 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_as_of(spark: SparkSession, sf_dir: str) -> Column:
     newest = table(spark, sf_dir, "lineitem").select(F.max("l_shipdate").cast("timestamp"))
     return newest.scalar()
+
+
+# Planned shift patterns, local wall clock minutes (pattern, shift number, start, end);
+# an end at or before the start ends on the next day.
+SHIFT_PATTERNS = [
+    ("day", 1, 540, 1080),
+    ("night", 1, 1320, 360),
+    ("split", 1, 420, 660),
+    ("split", 2, 900, 1140),
+]
+ABSENCE_DAYS = 3
+
+
+def shift_patterns(spark: SparkSession) -> DataFrame:
+    return config_table(spark, SHIFT_PATTERNS, "pattern string, shift_no int, start_minute int, end_minute int")
+
+
+def shift_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every person's pattern by rule: day, night, split or none (no planned shift)."""
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        F.expr(SITE.format("c_custkey")), guid("9000", key).alias("person_id"),
+        F.when(key % 4 == 0, "day").when(key % 4 == 1, "night").when(key % 4 == 2, "split").alias("pattern"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from swipeflow.functions import times, values
 from swipeflow.operators import events as ev
-from swipeflow.operators import loads, lookups, mart, profile, quality, reports, sessions, star, territory
+from swipeflow.operators import attendance, loads, lookups, mart, profile, quality, reports, sessions, star, territory
 from swipeflow.plans import fixtures as fx
 from swipeflow.rules import ENTRY_CODES, EXIT_CODES
 from swipeflow.session import scratch_path
@@ -96,6 +96,19 @@ def mart_anomalies(spark, sf):
     return mart.anomalous_rows(_mart(spark, sf))
 
 
+@query("absence_runs")
+def absence_runs(spark, sf):
+    present = _mart(spark, sf).select("site_id", "person_id", "report_date")
+    return attendance.absence_runs(present, fx.persons(spark, sf), *fx.PERIOD, days=fx.ABSENCE_DAYS)
+
+
+@query("schedule_deviation")
+def schedule_deviation(spark, sf):
+    spans = sessions.session_spans(_zoned(spark, sf), fx.CURRENT).filter(F.col("zone_type") == "territory")
+    shifts = attendance.planned_shifts(fx.shift_roster(spark, sf), fx.shift_patterns(spark), *fx.PERIOD, fx.CURRENT.tz_hours)
+    return attendance.schedule_deviation(spans, shifts)
+
+
 @query("mart_site")
 def mart_site(spark, sf):
     return mart.mart_for_site(_mart(spark, sf), "site_a")
