@@ -375,3 +375,15 @@ def shift_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.expr(SITE.format("c_custkey")), guid("9000", key).alias("person_id"),
         F.when(key % 4 == 0, "day").when(key % 4 == 1, "night").when(key % 4 == 2, "split").alias("pattern"))
+
+
+def stage_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moves of applications (vacancy, candidate) between hiring stages, by rule: skips, repeats, returns,
+    moves out of time order and an unknown stage ('withdrawn') occur."""
+    from swipeflow.operators.hiring import STAGES
+    part, line = F.col("l_partkey"), F.col("l_linenumber")
+    step = (line - 1 + F.when(part % 7 == 0, 2).otherwise(0)) % len(STAGES)
+    stage = F.when(part % 11 == 0, F.lit("withdrawn")).otherwise(F.element_at(F.array(*[F.lit(s) for s in STAGES]), (step + 1).cast("int")))
+    moved = F.timestamp_seconds(F.unix_timestamp(F.col("l_shipdate").cast("timestamp")) + (F.col("l_suppkey") % 24) * 3600)
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("vacancy_id"), (part % 3).alias("candidate_id"), stage.alias("stage"), moved.alias("moved_at"))

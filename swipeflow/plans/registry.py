@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from swipeflow.functions import times, values
 from swipeflow.operators import events as ev
-from swipeflow.operators import attendance, loads, lookups, mart, profile, quality, reports, sessions, star, territory
+from swipeflow.operators import attendance, hiring, loads, lookups, mart, profile, quality, reports, sessions, star, territory
 from swipeflow.plans import fixtures as fx
 from swipeflow.rules import ENTRY_CODES, EXIT_CODES
 from swipeflow.session import scratch_path
@@ -109,6 +109,22 @@ def schedule_deviation(spark, sf):
     return attendance.schedule_deviation(spans, shifts)
 
 
+@query("hiring_funnel")
+def hiring_funnel(spark, sf):
+    return hiring.funnel(fx.stage_moves(spark, sf), fx.vacancies(spark, sf))
+
+
+@query("interview_drop_off")
+def interview_drop_off(spark, sf):
+    return hiring.drop_off(fx.stage_moves(spark, sf), fx.vacancies(spark, sf), fx.quality_as_of(spark, sf))
+
+
+@query("time_to_offer")
+def time_to_offer(spark, sf):
+    return hiring.time_to_offer(hiring.offer_times(fx.stage_moves(spark, sf), fx.vacancies(spark, sf))).drop(
+        "sketch_median_days", "sketch_p90_days")
+
+
 @query("mart_site")
 def mart_site(spark, sf):
     return mart.mart_for_site(_mart(spark, sf), "site_a")
