@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from swipeflow.functions import times, values
 from swipeflow.operators import events as ev
-from swipeflow.operators import attendance, hiring, loads, lookups, mart, profile, quality, reports, sessions, star, territory
+from swipeflow.operators import attendance, benchmark, hiring, loads, lookups, mart, profile, quality, reports, sessions, star, territory
 from swipeflow.plans import fixtures as fx
 from swipeflow.rules import ENTRY_CODES, EXIT_CODES
 from swipeflow.session import scratch_path
@@ -125,6 +125,11 @@ def time_to_offer(spark, sf):
         "sketch_median_days", "sketch_p90_days")
 
 
+@query("presence_benchmark")
+def presence_benchmark(spark, sf):
+    return benchmark.presence_benchmark(_mart(spark, sf))
+
+
 @query("mart_site")
 def mart_site(spark, sf):
     return mart.mart_for_site(_mart(spark, sf), "site_a")
