@@ -130,6 +130,11 @@ def presence_benchmark(spark, sf):
     return benchmark.presence_benchmark(_mart(spark, sf))
 
 
+@query("persons_by_month")
+def persons_by_month(spark, sf):
+    return mart.persons_by_month(_mart(spark, sf)).drop("persons_estimate")
+
+
 @query("mart_site")
 def mart_site(spark, sf):
     return mart.mart_for_site(_mart(spark, sf), "site_a")

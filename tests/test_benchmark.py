@@ -25,3 +25,18 @@ def test_levels_and_one_expand(spark):
     assert all(r["company_avg_minutes"] == pytest.approx((90.5 + 10.0 + 100.0 + 20.0) / 4) for r in got.values())
     final = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("Expand") == 1 and "NestedLoop" not in final
+
+
+def test_monthly_persons_from_daily_sketches(spark):
+    import random
+
+    from swipeflow.operators import mart as mart_ops
+    rng = random.Random(4)
+    rows = [(D(2024, 1 + m, 1 + d), "zone", f"p{rng.randrange(20_000)}") for m in range(2) for d in range(28) for _ in range(400)]
+    rows += [(D(2024, 1, 1), "zone", None)]
+    df = spark.createDataFrame(rows, "report_date date, zone_type string, person_id string")
+    got = {r["month"]: r for r in mart_ops.persons_by_month(df).collect()}
+    for month in (D(2024, 1, 1), D(2024, 2, 1)):
+        exact = len({p for day, _, p in rows if p and day.month == month.month})
+        assert got[month]["persons"] == exact
+        assert abs(got[month]["persons_estimate"] - exact) <= 0.05 * exact
