@@ -3,9 +3,10 @@
 A document's fingerprint has bit b set when more than half of its shingle hashes have bit b set
 (shingles: ``SHINGLE`` consecutive lower-cased words, repeats included, joined by one space; fewer words give
 the whole sequence as one shingle; no words give fingerprint zero). Hashes are XXH64 of the UTF-8 shingle
-with seed 42, which is Spark's own ``xxhash64``, so fingerprints are built by built-in expressions: the
-shingles of a row are exploded and the 64 bit counts summed per row (map-side partial sums, one row a
-document through the shuffle).
+with seed 42 (the same as Spark's ``xxhash64``). Fingerprints are made by Arrow-batched tasks, one pass
+over the documents without a shuffle: shingles of a text are hashed by the xxhash library and their bits
+counted with numpy. (A form by built-in expressions, shingles exploded and 64 bit sums per row, took
+about 8,000 CPU seconds a GB here: the shingle lambda is not compiled.)
 
 Fingerprints within ``RADIUS`` differing bits are linked. Only distinct fingerprints take part (exact copies
 are one node). Linking by BK-trees, sharded so that no tree and no task grows with the corpus:
@@ -33,10 +34,16 @@ behind.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from swipeflow.llm import packs
 from swipeflow.llm.links import components
 from swipeflow.llm.tables import saved
 
@@ -44,6 +51,7 @@ SHINGLE = 4
 RADIUS = 4
 TREE_SIZE = 20_000
 BITS = 64
+SEED = 42
 SPACE = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -59,27 +67,41 @@ def blocks(radius: int = RADIUS) -> list[tuple[int, int]]:
     return parts
 
 
-def shingles(text, shingle: int = SHINGLE):
-    """Shingles of a text column, repeats included, as an array column."""
-    words = F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SPACE), lambda w: w != "")
-    n = F.size(words)
-    return (F.when(n >= shingle, F.transform(F.sequence(F.lit(0), n - shingle), lambda i: F.array_join(F.slice(words, i + 1, shingle), " ")))
-            .when(n > 0, F.array(F.array_join(words, " ")))
-            .otherwise(F.array().cast("array<string>")))
+_FOLD = str.maketrans(UPPER, LOWER)
+_SPLIT = re.compile(SPACE)
+
+
+def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> tuple[int, int]:
+    """(fingerprint as a signed 64-bit integer, number of shingles) of one text."""
+    words = [w for w in _SPLIT.split((text or "").translate(_FOLD)) if w]
+    if len(words) >= shingle:
+        pieces = [" ".join(words[i:i + shingle]) for i in range(len(words) - shingle + 1)]
+    else:
+        pieces = [" ".join(words)] if words else []
+    if not pieces:
+        return 0, 0
+    hashes = np.fromiter((xxhash.xxh64_intdigest(p.encode(), seed=SEED) for p in pieces), dtype=np.uint64, count=len(pieces))
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    value = int(np.packbits(2 * bits > len(pieces), bitorder="little").view("<u8")[0])
+    return value - (1 << 64) if value >= 1 << 63 else value, len(pieces)
+
+
+def _printed(shingle: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [fingerprint_of(t, shingle) for t in batch["text"]]
+            yield pd.DataFrame({"row": batch["row"], "doc_id": batch["doc_id"],
+                                "fingerprint": pd.Series([f for f, _ in found], dtype="int64"),
+                                "n_shingles": pd.Series([n for _, n in found], dtype="int64")})
+        packs.release()
+    return run
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """row (a key of the input row), doc_id, fingerprint (signed 64-bit long), n_shingles for every input row."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                       shingles(docs["text"], shingle).alias("shingles"))
-    hashes = rows.select("row", "doc_id", F.explode_outer("shingles").alias("shingle")).withColumn("h", F.when(F.col("shingle").isNotNull(), F.xxhash64("shingle")))
-    counts = [F.sum(F.shiftright("h", b).bitwiseAND(1)).alias(f"b{b}") for b in range(BITS)]
-    summed = hashes.groupBy("row", "doc_id").agg(F.count("shingle").alias("n_shingles"), *counts)
-    fingerprint = F.lit(0).cast("long")
-    for b in range(BITS):
-        fingerprint = fingerprint.bitwiseOR(F.when(2 * F.col(f"b{b}") > F.col("n_shingles"), F.shiftleft(F.lit(1).cast("long"), b))
-                                            .otherwise(F.lit(0).cast("long")))
-    return summed.select("row", "doc_id", fingerprint.alias("fingerprint"), F.col("n_shingles").cast("long"))
+                       docs["text"].alias("text"))
+    return rows.mapInPandas(_printed(shingle), "row long, doc_id long, fingerprint long, n_shingles long")
 
 
 def _unsigned(value: int) -> int:
@@ -135,22 +157,48 @@ def _first_common_block(a: int, b: int, parts: list[tuple[int, int]]) -> int:
     return -1
 
 
+KEYS = ["block", "value", "sub", "part"]
+
+
 def _searched(radius: int):
+    """Sorted rows of (block, value, sub, part) groups in, links out; a group may span Arrow batches."""
     parts = blocks(radius)
     signed = lambda xs: [x - (1 << 64) if x >= 1 << 63 else x for x in xs]
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        j = int(frame["block"].iloc[0])
-        member = frame["member"].to_numpy(dtype=bool)
-        values = frame["fingerprint"].to_numpy()
+    def search(block: int, member: np.ndarray, values: np.ndarray, a: list, b: list) -> None:
         tree = BKTree(_unsigned(int(v)) for v in values[member])
-        a, b = [], []
         for query in (_unsigned(int(v)) for v in values[~member]):
             for match in tree.within(query, radius):
-                if query < match and _first_common_block(query, match, parts) == j:
+                if query < match and _first_common_block(query, match, parts) == block:
                     a.append(query)
                     b.append(match)
-        return pd.DataFrame({"a": pd.Series(signed(a), dtype="int64"), "b": pd.Series(signed(b), dtype="int64")})
+
+    def groups(frame: pd.DataFrame, a: list, b: list) -> None:
+        keys = frame[KEYS].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
+        ends = np.append(starts[1:], len(frame))
+        member, values = frame["member"].to_numpy(dtype=bool), frame["fingerprint"].to_numpy()
+        for first, last in zip(starts, ends):
+            search(int(keys[first, 0]), member[first:last], values[first:last], a, b)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        carry = None
+        for batch in batches:
+            frame = batch if carry is None else pd.concat([carry, batch], ignore_index=True)
+            if not len(frame):
+                continue
+            keys = frame[KEYS].to_numpy()
+            open_group = (keys == keys[-1]).all(axis=1)
+            carry = frame[open_group]
+            a, b = [], []
+            if (~open_group).any():
+                groups(frame[~open_group], a, b)
+            yield pd.DataFrame({"a": pd.Series(signed(a), dtype="int64"), "b": pd.Series(signed(b), dtype="int64")})
+        if carry is not None and len(carry):
+            a, b = [], []
+            groups(carry, a, b)
+            yield pd.DataFrame({"a": pd.Series(signed(a), dtype="int64"), "b": pd.Series(signed(b), dtype="int64")})
+        packs.release()
 
     return run
 
@@ -170,8 +218,8 @@ def links(prints: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) -
     queries = sized.select("block", "value", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("sub"),
                            F.pmod(F.xxhash64("fingerprint", F.lit(2)), F.col("parts")).cast("int").alias("part"), "fingerprint",
                            F.lit(False).alias("member"))
-    return (members.unionByName(queries).groupBy("block", "value", "sub", "part")
-            .applyInPandas(_searched(radius), "a long, b long"))
+    return (members.unionByName(queries).repartition(*KEYS).sortWithinPartitions(*KEYS)
+            .mapInPandas(_searched(radius), "a long, b long"))
 
 
 def groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tree_size: int = TREE_SIZE) -> DataFrame:
