@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from swipeflow import schemas
@@ -387,3 +387,28 @@ def stage_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.timestamp_seconds(F.unix_timestamp(F.col("l_shipdate").cast("timestamp")) + (F.col("l_suppkey") % 24) * 3600)
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("vacancy_id"), (part % 3).alias("candidate_id"), stage.alias("stage"), moved.alias("moved_at"))
+
+
+def order_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a loaded source: source_id, period_start (month), key and value in cents."""
+    return table(spark, sf_dir, "orders").select(
+        source(F.col("o_custkey")).alias("source_id"),
+        F.date_trunc("month", F.col("o_orderdate").cast("timestamp")).alias("period_start"),
+        F.col("o_orderkey").alias("key"), F.round(F.col("o_totalprice") * 100).cast("long").alias("value"))
+
+
+def ledger_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transitions by rule: every period runs, then ends done or (orders % 4 = 0) error; periods whose count
+    divides by five were never loaded; where it divides by three, orders with key % 13 = 0 came after the load."""
+    rows = order_periods(spark, sf_dir)
+    n = F.count("*").over(Window.partitionBy("source_id", "period_start"))
+    loaded = rows.withColumn("n", n).filter(F.col("n") % 5 != 0).filter((F.col("n") % 3 != 0) | (F.col("key") % 13 != 0))
+    seen = loaded.groupBy("source_id", "period_start", "n").agg(
+        F.count("*").cast("long").alias("rows"), F.sum("key").cast("long").alias("key_sum"), F.sum("value").cast("long").alias("value_sum"))
+    ended = F.when(F.col("n") % 4 == 0, F.lit("error")).otherwise(F.lit("done"))
+    start = seen.select("source_id", "period_start", F.lit("running").alias("status"),
+                        (F.col("period_start") + F.expr("INTERVAL 33 DAYS")).alias("at"),
+                        *[F.lit(None).cast("long").alias(c) for c in ("rows", "key_sum", "value_sum")])
+    end = seen.select("source_id", "period_start", ended.alias("status"), (F.col("period_start") + F.expr("INTERVAL 34 DAYS")).alias("at"),
+                      *[F.when(ended == "done", F.col(c)).alias(c) for c in ("rows", "key_sum", "value_sum")])
+    return start.unionByName(end)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from swipeflow.functions import times, values
 from swipeflow.operators import events as ev
-from swipeflow.operators import attendance, benchmark, hiring, loads, lookups, mart, profile, quality, reports, sessions, star, territory
+from swipeflow.operators import attendance, benchmark, hiring, ledger, loads, lookups, mart, profile, quality, reports, sessions, star, territory
 from swipeflow.plans import fixtures as fx
 from swipeflow.rules import ENTRY_CODES, EXIT_CODES
 from swipeflow.session import scratch_path
@@ -135,6 +135,11 @@ def persons_by_month(spark, sf):
     return mart.persons_by_month(_mart(spark, sf)).drop("persons_estimate")
 
 
+@query("ledger_attention")
+def ledger_attention(spark, sf):
+    return ledger.attention(fx.ledger_log(spark, sf), ledger.digests(fx.order_periods(spark, sf), "key", "value"))
+
+
 @query("mart_site")
 def mart_site(spark, sf):
     return mart.mart_for_site(_mart(spark, sf), "site_a")
