@@ -661,6 +661,14 @@ def json_schema(spark, sf):
     return profile.json_schema(_records(spark, sf))
 
 
+@query("schema_text")
+def schema_text(spark, sf):
+    """The JSON schema written as text lines to the shared folder and read back."""
+    path = scratch_path(spark, "schema-text")
+    files.write_schema_text(profile.json_schema(_records(spark, sf)), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 # ---- data quality -----------------------------------------------------------
 
 @query("dq_no_recruiter")
