@@ -5,7 +5,8 @@ a smaller doc_id.
 
 1. The anchor of a window is its 5-word sequence with the smallest hash, so equal windows have equal anchors
    and neighbouring windows mostly share one. Owner tasks tell each chunk of documents which of its anchors
-   other documents have too (one bit each); all other windows are unique and stay where they are.
+   other documents have too (one bit each); all other windows are unique and stay where they are. The chunk's
+   cell keeps the length and anchor number of its runs, so later passes hash no words again.
 2. Runs of windows with a shared anchor are the reference. They go to the shard of their anchor: each
    different run of a chunk once, with the smallest doc_id that has it. The runs of an anchor that would fill an
    automaton are sent window by window, each to the shard of the window's own hash: equal windows still meet.
@@ -129,38 +130,54 @@ def _numbers(ids: list) -> list[int]:
     return [_LAST if i is None else i for i in ids]
 
 
+def _runs_of(texts: list[bytes], window: int, buckets: int) -> tuple[tuple, np.ndarray, np.ndarray]:
+    """The runs of a chunk, as its cell keeps them; the chunk's different anchors by bucket; the places of the runs in that order.
+
+    Kept are the runs of each document, the windows and the anchor's place of each run, and the anchors of each bucket.
+    """
+    known = WordHashes()
+    found, lengths = [], []
+    for text in texts:
+        anchors = _anchors(text.split(), window, known)
+        starts = _starts(anchors)
+        found.append(anchors[starts])
+        lengths.append(np.diff(np.r_[starts, len(anchors)]).astype(np.int32))
+    anchors = np.concatenate(found)
+    bucket = anchors % np.uint64(buckets)
+    order = np.lexsort((anchors, bucket))
+    starts = _starts(anchors[order])
+    place = np.empty(len(anchors), np.int32)
+    place[order] = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.r_[starts, len(anchors)]))
+    sizes = np.bincount(bucket[order][starts].astype(np.int64), minlength=buckets)
+    counts = np.array([len(f) for f in found], np.int64)
+    return (counts, packs.planes(np.concatenate(lengths)), packs.planes(place), sizes), anchors[order][starts], order
+
+
 def _send_anchors(window: int, buckets: int):
     def make(ids: list, texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        known = WordHashes()
-        found, owners, lengths = [], [], []
-        for doc, text in zip(_numbers(ids), texts):
-            anchors = _anchors(text.split(), window, known)
-            starts = _starts(anchors)
-            found.append(anchors[starts])
-            owners.append(np.full(len(starts), doc, np.int64))
-            # in runs of the usual length at most
-            lengths.append((np.diff(np.r_[starts, len(anchors)]) + 2 * window - 2) // (2 * window))
-        yield packs.CHUNK, packs.pack((ids, texts))
-        anchors, docs, length = np.concatenate(found), np.concatenate(owners), np.concatenate(lengths)
-        order = np.argsort(anchors, kind="stable")
-        anchors, docs, length = anchors[order], docs[order], length[order]
-        starts = _starts(anchors)
-        if not len(starts):
+        kept, distinct, order = _runs_of(texts, window, buckets)
+        yield packs.CHUNK, packs.pack((ids, texts, kept))
+        if not len(distinct):
             return
+        counts, lengths, places, sizes = kept
+        place = packs.from_planes(places, np.int32)[order]
+        starts = np.searchsorted(place, np.arange(len(distinct)))
+        docs = np.repeat(np.array(_numbers(ids), np.int64), counts)[order]
+        # in runs of the usual length at most
+        length = (packs.from_planes(lengths, np.int32)[order] + 2 * window - 2) // (2 * window)
         runs = np.add.reduceat(length, starts).astype(np.int32)
         several = np.minimum.reduceat(docs, starts) < np.maximum.reduceat(docs, starts)
-        distinct = anchors[starts]
-        bucket = distinct % np.uint64(buckets)
-        for b in np.unique(bucket):
-            mine = bucket == b
-            yield int(b), packs.pack((distinct[mine], several[mine], packs.planes(runs[mine])))
+        ends = np.cumsum(sizes)
+        for b in np.flatnonzero(sizes).tolist():
+            mine = slice(ends[b] - sizes[b], ends[b])
+            yield b, packs.pack((distinct[mine], several[mine], packs.planes(runs[mine])))
 
     return make
 
 
 def _shared_anchors(window: int):
     def own(cells: list[tuple[str, tuple]]) -> list[object]:
-        """For each anchor of a cell whether other documents have it, and whether its runs would fill an automaton."""
+        """For each anchor of a cell whether other documents have it, and whether its runs would fill an automaton; the shared ones again."""
         anchors = np.concatenate([a for _, (a, _, _) in cells])
         several = np.concatenate([s for _, (_, s, _) in cells])
         runs = np.concatenate([packs.from_planes(r, np.int32) for _, (_, _, r) in cells])
@@ -170,7 +187,7 @@ def _shared_anchors(window: int):
         out, at = [], 0
         for _, (own, _, _) in cells:
             mine = inverse[at:at + len(own)]
-            out.append((np.packbits(shared[mine]), np.packbits(large[mine])))
+            out.append((np.packbits(shared[mine]), np.packbits(large[mine]), own[shared[mine]]))
             at += len(own)
         return out
 
@@ -178,45 +195,53 @@ def _shared_anchors(window: int):
 
 
 class _Runs:
-    """The runs of a chunk's documents whose anchors other documents have, the same each time they are taken."""
-
-    def __init__(self, texts: list[bytes], answers: list[dict], window: int, buckets: int) -> None:
-        self.window, self.buckets, known = window, buckets, WordHashes()
-        self.words = [t.split() for t in texts]
-        self.known = known
-        self.anchors = [_anchors(w, window, known) for w in self.words]
-        self.distinct = np.unique(np.concatenate(self.anchors))
-        self.shared, self.large = np.zeros((2, len(self.distinct)), bool)
-        bucket = self.distinct % np.uint64(buckets)
-        for answer in answers or []:
-            mine = np.flatnonzero(bucket == np.uint64(answer["bucket"]))
-            self.shared[mine], self.large[mine] = (np.unpackbits(b, count=len(mine)).astype(bool) for b in packs.unpack(answer["payload"]))
+    """The runs of a chunk's documents whose anchors other documents have, the same each time they are taken.
+
+    kept: the runs as the chunk's cell has them, so that no word is hashed again; without, they are found in the texts.
+    """
 
-    def of(self, i: int) -> Iterator[tuple[int, int, int, bytes]]:
+    def __init__(self, texts: list[bytes], answers: list[dict], window: int, buckets: int, kept: tuple | None = None) -> None:
+        self.texts, self.window, self.known = texts, window, WordHashes()
+        counts, lengths, places, sizes = kept or _runs_of(texts, window, buckets)[0]
+        shared, large = np.zeros((2, sizes.sum()), bool)
+        anchors = np.zeros(len(shared), np.uint64)
+        ends = np.cumsum(sizes)
+        for answer in answers or []:
+            b = answer["bucket"]
+            mine = slice(ends[b] - sizes[b], ends[b])
+            *bits, own = packs.unpack(answer["payload"])
+            shared[mine], large[mine] = (np.unpackbits(x, count=sizes[b]).astype(bool) for x in bits)
+            anchors[mine][shared[mine]] = own
+        length, place = packs.from_planes(lengths, np.int32).astype(np.int64), packs.from_planes(places, np.int32)
+        last, before = np.r_[0, np.cumsum(counts)], np.r_[0, np.cumsum(length)]
+        live = np.flatnonzero(shared[place])
+        # the live runs of document i are at[i] to at[i + 1]
+        self.at = np.searchsorted(live, last)
+        self.start = before[live] - before[last[np.searchsorted(last, live, "right") - 1]]
+        self.length, self.anchors, self.large = length[live], anchors[place[live]], large[place[live]]
+
+    def of(self, i: int, words: list[bytes] | None = None) -> Iterator[tuple[int, int, int, bytes]]:
         """(key of the shard, first window, windows, words) of each run of document i; windows of large anchors are runs of their own."""
-        anchors, words = self.anchors[i], self.words[i]
-        if not len(anchors):
+        mine = slice(self.at[i], self.at[i + 1])
+        if mine.start == mine.stop:
             return
-        starts = _starts(anchors)
-        ends = np.r_[starts[1:], len(anchors)]
-        place = np.searchsorted(self.distinct, anchors[starts])
-        live = self.shared[place]
-        large = self.large[place[live]]
+        words = self.texts[i].split() if words is None else words
+        large = self.large[mine]
         keys = window_hashes(word_hashes(words, self.known), self.window) if large.any() else None
-        for s, e, a, apart in zip(starts[live].tolist(), ends[live].tolist(), anchors[starts[live]].tolist(), large.tolist()):
+        for s, n, a, apart in zip(*[x[mine].tolist() for x in (self.start, self.length, self.anchors, self.large)]):
             if apart:
-                for at in range(s, e):
+                for at in range(s, s + n):
                     yield int(keys[at]), at, 1, b" ".join(words[at:at + self.window])
             else:
-                yield a, s, e - s, b" ".join(words[s:e + self.window - 1])
+                yield a, s, n, b" ".join(words[s:s + n + self.window - 1])
 
 
 def _send_runs(window: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, texts = packs.unpack(row["payload"])
-                runs = _Runs(texts, row["answers0"], window, buckets)
+                ids, texts, kept = packs.unpack(row["payload"])
+                runs = _Runs(texts, row["answers0"], window, buckets, kept)
                 sent: dict[int, dict[bytes, list[int]]] = {}
                 for i, doc in enumerate(_numbers(ids)):
                     for anchor, _, _, text in runs.of(i):
@@ -262,39 +287,36 @@ def _cut(window: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, texts = packs.unpack(row["payload"])
-                runs = _Runs(texts, row["answers0"], window, buckets)
+                ids, texts, kept = packs.unpack(row["payload"])
+                runs = _Runs(texts, row["answers0"], window, buckets, kept)
                 first = {a["bucket"]: packs.from_planes(packs.unpack(a["payload"]), np.int64) for a in row["answers1"] or []}
                 places: dict[int, dict[bytes, int]] = {}
                 ends: dict[int, int] = {}
-                marked = []
+                out = []
                 for i, doc in enumerate(_numbers(ids)):
-                    flags = np.zeros(max(len(runs.words[i]) - window + 1, 0), bool)
-                    for anchor, start, count, text in runs.of(i):
+                    words = texts[i].split()
+                    n = len(words)
+                    flags = np.zeros(max(n - window + 1, 0), bool)
+                    for anchor, start, count, text in runs.of(i, words):
                         bucket = anchor % buckets
                         at = ends.setdefault(bucket, 0)
                         place = places.setdefault(bucket, {}).setdefault(text, at)
                         if place == at:
                             ends[bucket] = at + count
                         flags[start:start + count] = first[bucket][place:place + count] < doc
-                    marked.append(flags)
-                for at in range(0, len(ids), 1000):
-                    out = []
-                    for i in range(at, min(at + 1000, len(ids))):
-                        words, n = runs.words[i], len(runs.words[i])
-                        if not marked[i].any():
-                            out.append((ids[i], n, 0, b" ".join(words)))
-                            continue
+                    if flags.any():
                         depth = np.zeros(n + 1, np.int64)
-                        hits = np.flatnonzero(marked[i])
+                        hits = np.flatnonzero(flags)
                         depth[hits] += 1
                         depth[hits + window] -= 1
-                        kept = np.flatnonzero(np.cumsum(depth)[:n] == 0).tolist()
-                        out.append((ids[i], n, n - len(kept), b" ".join([words[k] for k in kept])))
-                    columns = list(zip(*out))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                        names=["doc_id", "n_words", "n_removed", "kept"])
+                        words = [words[k] for k in np.flatnonzero(np.cumsum(depth)[:n] == 0).tolist()]
+                    out.append((ids[i], n, n - len(words), b" ".join(words)))
+                    if len(out) == 1000 or i == len(ids) - 1:
+                        columns = list(zip(*out))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                            names=["doc_id", "n_words", "n_removed", "kept"])
+                        out = []
 
     return run
 

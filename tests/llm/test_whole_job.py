@@ -144,6 +144,37 @@ def test_op6_large_anchors(monkeypatch):
     assert got == wanted and max(sizes) < 10 * 400
 
 
+def test_op6_words_are_hashed_once(monkeypatch):
+    """The passes after the first take the runs from the chunk's cell; only texts with a large anchor are hashed again."""
+    window, buckets = 13, 4
+    shared = " ".join(f"s{j}" for j in range(20))
+    texts = [f"{' '.join(f'a{i}x{j}' for j in range(30))} {shared} {' '.join(f'b{i}x{j}' for j in range(9))}".encode() for i in range(8)] + [b"", b"few words"]
+    chunks = [([0, 1, 2, None, 4], texts[:5]), ([5, 6, 7, 8, 9], texts[5:])]
+    sent = [list(substring_dedup._send_anchors(window, buckets)(*c)) for c in chunks]
+    answers = [[], []]
+    for b in range(buckets):
+        own = [(str(i), substring_dedup.packs.unpack(p)) for i, cells in enumerate(sent) for x, p in cells if x == b]
+        for (i, _), a in zip(own, substring_dedup._shared_anchors(window)(own) if own else []):
+            answers[int(i)].append({"bucket": b, "payload": substring_dedup.packs.pack(a)})
+    found = [substring_dedup._Runs(c[1], a, window, buckets) for c, a in zip(chunks, answers)]
+    found = [[list(runs.of(k)) for k in range(5)] for runs in found]
+    assert all(found[0]) and sum(n for _, _, n, _ in found[0][0]) >= 8 and not found[1][3] and not found[1][4]
+
+    def never(*_):
+        raise AssertionError("hashed again")
+
+    monkeypatch.setattr(substring_dedup, "_anchors", never)
+    monkeypatch.setattr(substring_dedup, "word_hashes", never)
+    cells = [[{"payload": p, "chunk": str(i), "answers0": answers[i]} for x, p in own if x == substring_dedup.packs.CHUNK] for i, own in enumerate(sent)]
+    again = []
+    for (row,) in cells:
+        ids, held, kept = substring_dedup.packs.unpack(row["payload"])
+        runs = substring_dedup._Runs(held, row["answers0"], window, buckets, kept)
+        again.append([list(runs.of(k)) for k in range(len(ids))])
+    assert again == found
+    assert list(substring_dedup._send_runs(window, buckets)([substring_dedup.pa.RecordBatch.from_pylist(c) for c in cells]))
+
+
 def test_op5_terms_far_from_their_entity(spark):
     gap = " and so on" * 40
     rows = [(i, f"Dear Zbigniew,{gap} {'one two three four'.split()[i]} is the way to zb@x.org today") for i in range(4)]
