@@ -1,10 +1,10 @@
 """Absence runs and deviation from planned shifts.
 
 Absence: the days of a period on which a person has no presence, as runs of consecutive calendar days
-(gaps and islands). History is cut into date segments of ``SEGMENT_DAYS``; gaps inside a segment come
-from a window over that segment alone, and the runs that cross segment borders from one summary row per
-person and segment (its first and last present day), so no window holds a person's whole history.
-Persons of the roster never seen in the period are absent on all of its days.
+(gaps and islands). History is cut into date segments of ``SEGMENT_DAYS``; a person's present days of a
+segment are one bit mask, merged on the map side already, so the presence is read once and a person and
+segment is one row from then on. Gaps inside a segment come from its mask, the runs that cross segment borders
+from the last day of the person's segment before. Persons of the roster never seen in the period are absent on all of its days.
 
 Schedule deviation: planned shifts (over midnight, several a day) against presence intervals. Both are
 cut into the UTC day buckets they touch and joined on (person, bucket) with an overlap test; a pair that
@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from swipeflow.rules import US_PER_DAY
 
 SEGMENT_DAYS = 31
+#: Days of a segment at most: the bits of a long. The runs do not depend on how history is cut.
+MASK_DAYS = 62
 KEY = ["site_id", "person_id"]
 US_PER_MINUTE = 60_000_000
 
@@ -34,25 +36,26 @@ def absence_runs(present: DataFrame, roster: DataFrame, start: dt.date, end: dt.
 
     present: rows (site_id, person_id, report_date) with presence; roster: (site_id, person_id).
     """
-    first_day, last_day = F.lit(start), F.lit(end)
-    seen = (present.filter(F.col("person_id").isNotNull() & F.col("report_date").between(start, end))
-            .select(*KEY, "report_date").distinct()
-            .withColumn("segment", F.floor(F.date_diff("report_date", first_day) / segment_days).cast("int")))
-    inside = (seen.withColumn("prev", F.lag("report_date").over(Window.partitionBy(*KEY, "segment").orderBy("report_date")))
-              .select(*KEY, F.date_add("prev", 1).alias("first_absent"), F.date_sub("report_date", 1).alias("last_absent")))
+    first_day, total = F.lit(start), (end - start).days + 1
+    width = min(segment_days, MASK_DAYS)
+    day = F.date_diff("report_date", first_day)
+    segments = (present.filter(F.col("person_id").isNotNull() & F.col("report_date").between(start, end))
+                .select(*KEY, F.floor(day / width).cast("int").alias("segment"), (day % width).alias("bit"))
+                .groupBy(*KEY, "segment").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.call_function("shiftright", F.col("mask"), i).bitwiseAND(1) == 1)
     by_segment = Window.partitionBy(*KEY).orderBy("segment")
-    edges = (seen.groupBy(*KEY, "segment").agg(F.min("report_date").alias("first"), F.max("report_date").alias("last"))
-             .withColumns({"before": F.lag("last").over(by_segment), "after": F.lead("first").over(by_segment)}))
-    across = edges.select(*KEY, F.coalesce(F.date_add("before", 1), first_day).alias("first_absent"),
-                          F.date_sub("first", 1).alias("last_absent"))
-    trailing = edges.filter(F.col("after").isNull()).select(*KEY, F.date_add("last", 1).alias("first_absent"),
-                                                           last_day.alias("last_absent"))
-    never = (roster.filter(F.col("person_id").isNotNull()).select(*KEY).distinct()
-             .join(seen.select(*KEY).distinct(), KEY, "left_anti")
-             .select(*KEY, first_day.alias("first_absent"), last_day.alias("last_absent")))
-    runs = inside.unionByName(across).unionByName(trailing).unionByName(never).filter(F.col("first_absent").isNotNull())
-    length = (F.date_diff("last_absent", "first_absent") + 1).cast("long")
-    return runs.withColumn("absent_days", length).filter(F.col("absent_days") >= max(days, 1))
+    marked = segments.withColumn("seen", F.transform(bits, lambda i: F.col("segment") * width + i)).withColumns({
+        "before": F.lag(F.element_at("seen", -1)).over(by_segment), "after": F.lead("segment").over(by_segment)})
+    # the days on which no absence can lie: the last one of the segment before, the own ones, the end of the period
+    marks = marked.select(*KEY, F.concat(
+        F.array(F.coalesce("before", F.lit(-1))), "seen", F.when(F.col("after").isNull(), F.array(F.lit(total))).otherwise(F.array())).alias("marks"))
+    people = roster.filter(F.col("person_id").isNotNull()).select(*KEY).distinct()
+    everyone = marks.join(people, KEY, "full").withColumn("marks", F.coalesce("marks", F.array(F.lit(-1), F.lit(total))))
+    gaps = F.transform(F.slice("marks", 2, F.size("marks") - 1), lambda to, i: F.struct(
+        F.get("marks", i).alias("from"), to.alias("to")))
+    gap = everyone.select(*KEY, F.explode(F.filter(gaps, lambda g: g["to"] - g["from"] - 1 >= max(days, 1))).alias("gap"))
+    return gap.select(*KEY, F.date_add(first_day, F.col("gap.from") + 1).alias("first_absent"), F.date_add(first_day, F.col("gap.to") - 1).alias("last_absent"),
+                      (F.col("gap.to") - F.col("gap.from") - 1).cast("long").alias("absent_days"))
 
 
 def _minutes(us: Column) -> Column:

@@ -56,6 +56,19 @@ def test_absence_run_across_month_end_and_never_seen(spark):
     assert attendance.absence_runs(empty, roster.limit(0), D(2024, 1, 1), D(2024, 1, 1)).count() == 0
 
 
+def test_absence_runs_read_the_presence_once(spark):
+    """Every branch over the presence would repeat the whole mart and its memory in one task."""
+    present = spark.range(90).selectExpr("'s' AS site_id", "concat('p', id % 7) AS person_id", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS report_date")
+    roster = spark.createDataFrame([("s", f"p{i}") for i in range(9)] + [(None, "p1")], KEYS)
+    runs = attendance.absence_runs(present.repartition("site_id", "person_id"), roster, D(2024, 1, 1), D(2024, 3, 30), 3, 70)
+    plan = runs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (0, 90") == 1
+    rows = [tuple(r) for r in present.collect()]
+    got = sorted((r["person_id"], r["first_absent"], r["last_absent"], r["absent_days"]) for r in runs.filter("site_id = 's'").collect())
+    assert got == _brute_runs({(p, d) for _, p, d in rows}, {f"p{i}" for i in range(9)}, D(2024, 1, 1), D(2024, 3, 30), 3)
+    assert [tuple(r) for r in runs.filter("site_id IS NULL").collect()] == [(None, "p1", D(2024, 1, 1), D(2024, 3, 30), 90)]
+
+
 HOUR = 3_600_000_000
 
 
