@@ -28,13 +28,15 @@ def json_field_profile(records: DataFrame, col: str = "record", pos: str = "pos"
     Spark's per-partition rank limit, so no key gathers all its values.
     """
     text = F.col("text")
-    typed = _fields(records, col, pos).select(
-        "field", "pos", "value", F.schema_of_variant("value").alias("kind"), F.to_json("value").alias("text")
-    )
+    # One projection per step: each is used several times by the next, so Spark computes it once a row.
+    typed = _fields(records, col, pos).select("field", "pos", "value", F.to_json("value").alias("text"))
+    typed = typed.withColumn("lists", variants.list_depth(text))
+    typed = typed.select("field", "pos", "text", "lists", variants.innermost(F.col("value"), F.col("lists")).alias("inner"))
     filled = typed.select(
         "field", "pos",
-        F.when(F.col("kind") != "VOID", F.lit(1)).alias("filled"),
-        variants.json_type_label(F.col("value")).alias("label"),
+        # the text of a JSON null; a string's text begins with a quote
+        F.when(text != "null", F.lit(1)).alias("filled"),
+        variants.label_of(text, F.col("lists"), F.col("inner")).alias("label"),
         variants.cut_text(text, cut).alias("shown"),
         F.when(F.length(text) > cut, F.sha2(text, 256)).alias("digest"),
     )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import warnings
 
 import pytest
@@ -395,6 +396,18 @@ def test_profile(spark):
     assert order == ["a", "c", "z", "b"]
 
 
+def test_profile_builds_a_value_text_once(spark):
+    """A record's value becomes text once a row, and lists are entered by constant paths."""
+    deep = 15
+    texts = ['{"a": ' + "[" * deep + "1.5" + "]" * deep + ', "b": [12345678901234567890], "c": null, "d": "null"}']
+    df = profile.json_field_profile(records(spark, texts))
+    rows = {r.field: (r.type, r.fill_pct) for r in df.collect()}
+    assert rows == {"a": ("list[" * deep + "float" + "]" * deep, "100%"), "b": ("list[int]", "100%"), "c": ("null", "0%"), "d": ("str", "100%")}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    built = re.findall(r"StructsToJsonEvaluator\(.{1,80}?\.evaluate\((value#\d+)\)", plan)
+    assert built and len(built) == len(set(built))
+
+
 def test_schema_text(spark):
     df = records(spark, ['{"a": {"x": 1, "y": ["s"]}, "b": true}', '{"a": {"x": 1.5}, "b": null}'])
     got = {r.field: r.schema for r in profile.json_schema(df).collect()}
