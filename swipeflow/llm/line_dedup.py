@@ -1,20 +1,24 @@
-"""Repeated runs of lines, found with a suffix array over line ids by distributed prefix doubling.
+"""Repeated runs of lines, found with a suffix array over line ids by distributed prefix doubling, and its LCP intervals.
 
 Lines that hold only white space are passed over: they neither count nor interrupt a run, and stay. A run is
-a sequence of lines of one document; it qualifies with `min_words` words or more. By default, as in ORACLE, a line
-is removed if it lies in the shortest qualifying run of a place, and that run begins at an earlier place of the
-corpus too (by doc_id, then line): lines at the end of a longer repeated run that are short of `min_words` stay.
-With `whole`, a line is removed if it lies in any qualifying run that begins at an earlier place too.
+a sequence of lines of one document; it qualifies with `min_words` words or more. A place (a line of a document)
+has a repeated run if the shortest qualifying run that begins there begins at an earlier place of the corpus too
+(by doc_id, then line); its maximal repeated run is the longest that does, however long, overlaps allowed.
+By default, as in ORACLE, the lines of the shortest qualifying part of every maximal repeated run are removed: lines
+at its end that are short of `min_words` stay. With `whole`, all lines of every maximal repeated run are.
 
 1. Lines that occur once cannot be in a repeated run and drop out. The others are ranked in the order of
    their hashes.
-2. Round j ranks the suffixes by their first 2^j lines, from the pairs of ranks of round j - 1: only the
-   different pairs are sorted, by range, and their places are the new ranks. Rounds end once 2^j lines reach
-   the longest qualifying depth, beyond which no decision can change.
-3. The shortest qualifying run at a place has some depth d. Places whose first d lines agree are an interval of
-   the suffix array with a longest common prefix of d or more; two ranks of round floor(log2 d) name it. The
-   first place of an interval stays, the runs at the others go. With `whole`, the shortest qualifying runs that
-   end at a place are taken too: runs of both sorts together cover the maximal repeated runs.
+2. Round j ranks the places by their first 2^j lines, from the pairs of ranks of round j - 1: only the
+   different pairs are sorted, by range, and their places are the new ranks. Places whose 2^j lines occur once
+   drop out of the round; rounds end when none is left, so together they sort the repeated suffixes wholly.
+3. Places whose first d lines agree are an interval of the suffix array with a longest common prefix of d or more.
+   The shortest qualifying run at a place has some depth d, and two ranks of round floor(log2 d) name its interval.
+   The first place of the interval has no repeated run, the others have.
+4. From there each place goes down the intervals it lies in, by 2^j lines for each round j from the last to the
+   first, as long as the smaller interval holds an earlier place. An interval is named by its depth and first place.
+   The earliest place that agrees on more lines either came down to the same interval or is its first place, so
+   these are all that is compared.
 
 No step gathers the places of a line or an interval: they are joined with their interval's first place.
 
@@ -24,6 +28,8 @@ order of a hash of the text, as do different texts with one doc_id. Other column
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,20 +50,21 @@ def _lines(text: Column) -> Column:
     return F.filter(numbered, lambda s: s["line"].rlike(WORD))
 
 
-def _ranked(rows: DataFrame, by: list[str], name: str) -> DataFrame:
-    """rows with column `name`: the place of their values of `by` in sorted order."""
-    values = rows.select(*by).distinct().repartitionByRange(partitions(rows.sparkSession), *by).sortWithinPartitions(*by)
-    ranks = saved(values.withColumn(name, F.monotonically_increasing_id()), "line-ranks")
+def _ranked(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The rows whose values of `by` other rows have too, with column `rank`: the place of these values in sorted order."""
+    often = rows.groupBy(*by).agg(F.count("*").alias("n")).filter("n > 1").select(*by)
+    values = often.repartitionByRange(partitions(rows.sparkSession), *by).sortWithinPartitions(*by)
+    ranks = saved(values.withColumn("rank", F.monotonically_increasing_id()), "line-ranks")
     return rows.join(ranks, by)
 
 
-def _depth(min_words: int, way: int = 1) -> Column:
-    """Lines of the shortest qualifying run that begins here (ends here if way is -1), null if the repeated lines end before."""
+def _depth(min_words: int) -> Column:
+    """Lines of the shortest qualifying run that begins here, null if the repeated lines end before."""
     ahead = F.collect_list(F.struct("at", "words")).over(
-        Window.partitionBy("doc", "mark").orderBy(F.col("at") * way).rowsBetween(0, min_words - 1))
+        Window.partitionBy("doc", "mark").orderBy("at").rowsBetween(0, min_words - 1))
 
     def step(state: Column, line: Column) -> Column:
-        open_ = state["open"] & (line["at"] == F.col("at") + state["n"] * way) & (state["sum"] < min_words)
+        open_ = state["open"] & (line["at"] == F.col("at") + state["n"]) & (state["sum"] < min_words)
         return F.struct(F.when(open_, state["n"] + 1).otherwise(state["n"]).alias("n"),
                         F.when(open_, state["sum"] + line["words"]).otherwise(state["sum"]).alias("sum"), open_.alias("open"))
 
@@ -65,41 +72,79 @@ def _depth(min_words: int, way: int = 1) -> Column:
     return F.aggregate(ahead, start, step, lambda s: F.when(s["sum"] >= min_words, s["n"]))
 
 
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
-    """(doc, mark, raw): every line to remove, once."""
+def _suffixes(docs: DataFrame, min_words: int) -> DataFrame:
+    """(doc, mark, at, raw, rank, depth) of the lines that occur at several places."""
     line = F.col("found.line")
     lines = saved(_keyed(docs).select("doc", "mark", F.posexplode(_lines(F.col("text"))).alias("at", "found")).select(
         *_PLACE, "found.raw", F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("second"), line).alias("h2"),
         F.regexp_count(line, F.lit(WORD)).cast("long").alias("words")), "lines")
-    often = lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2")
-    rows = _ranked(lines.join(often, ["h1", "h2"]).distinct(), ["h1", "h2"], "r0").drop("h1", "h2")
-    # runs that end here are named by their beginnings below
-    depths = {"depth": _depth(min_words)} | ({"back": _depth(min_words, -1)} if whole else {})
-    rows = saved(rows.withColumns(depths), "line-suffixes")
-    deepest = rows.agg(F.greatest(*[F.max(d) for d in depths], F.lit(0))).first()[0]
-    j = 0
-    while 2 ** (j + 1) <= deepest:
-        after = rows.select("doc", "mark", (F.col("at") - 2**j).alias("at"), F.col(f"r{j}").alias("then"))
-        pairs = rows.join(after, _PLACE, "left").withColumn("then", F.coalesce("then", F.lit(-1)))
-        rows = saved(_ranked(pairs, [f"r{j}", "then"], f"r{j + 1}").drop("then"), "line-suffixes")
-        j += 1
-    ranks = F.array(*[F.col(f"r{i}") for i in range(j + 1)])
+    rows = _ranked(lines, ["h1", "h2"]).select(*_PLACE, "raw", "words", "rank").repartition("doc", "mark").distinct()
+    return saved(rows.withColumn("depth", _depth(min_words)).drop("words"), "line-suffixes")
+
+
+def _rounds(rows: DataFrame) -> list[DataFrame]:
+    """(doc, mark, at, rank) for each round j: the places whose first 2^j lines begin at several places."""
+    rounds = [rows.select(*_PLACE, "rank")]
+    while len(rounds) == 1 or not rounds[-1].isEmpty():
+        last = rounds[-1].withColumnRenamed("rank", "this")
+        after = rounds[-1].select("doc", "mark", (F.col("at") - 2 ** (len(rounds) - 1)).alias("at"), F.col("rank").alias("then"))
+        rounds.append(saved(_ranked(last.join(after, _PLACE), ["this", "then"]).select(*_PLACE, "rank"), "line-round"))
+    return rounds[:-1]
+
+
+def _shortest(rows: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """(doc, mark, at, depth, lines, first) of the places whose `depth` lines begin at an earlier place too: lines is depth,
+    first the earliest of these places."""
+    ranks = reduce(DataFrame.union, [r.select("doc", "mark", "at", F.lit(j).alias("level"), "rank") for j, r in enumerate(rounds)])
     level = F.floor(F.log2("depth")).cast("int")
-    if whole:
-        runs = rows.filter("depth is not null").select(*_PLACE, "depth").union(rows.filter("back is not null").select(
-            "doc", "mark", (F.col("at") - F.col("back") + 1).alias("at"), F.col("back").alias("depth"))).distinct()
-        starts = runs.join(rows.select(*_PLACE, ranks.alias("ranks")), _PLACE).select(
-            *_PLACE, "depth", level.alias("level"), F.element_at("ranks", level + 1).alias("a"))
-    else:
-        starts = rows.filter("depth is not null").select(*_PLACE, "depth", level.alias("level"), F.element_at(ranks, level + 1).alias("a"))
-    seconds = rows.select("doc", "mark", F.col("at").alias("end_at"), ranks.alias("ranks"))
-    reach = (F.col("at") + F.col("depth") - F.pow(F.lit(2), F.col("level")).cast("int")).alias("end_at")
-    named = starts.select("*", reach).join(seconds, ["doc", "mark", "end_at"]).select(
-        *_PLACE, "depth", "a", F.element_at("ranks", F.col("level") + 1).alias("b"))
+    reach = (F.col("at") + F.col("depth") - F.pow(F.lit(2), F.col("level")).cast("int")).alias("end")
+    starts = rows.filter("depth is not null").select(*_PLACE, "depth", level.alias("level")).join(ranks, [*_PLACE, "level"])
+    ends = ranks.select("doc", "mark", F.col("at").alias("end"), "level", F.col("rank").alias("b"))
+    named = saved(starts.select(*_PLACE, "depth", "level", F.col("rank").alias("a"), reach).join(
+        ends, ["doc", "mark", "end", "level"]).select(*_PLACE, "depth", "a", "b"), "line-runs")
     firsts = named.groupBy("depth", "a", "b").agg(F.min(F.struct(*_PLACE)).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    later = named.join(firsts, ["depth", "a", "b"]).filter(F.struct(*_PLACE) != F.col("first"))
-    covered = later.select("doc", "mark", F.explode(F.sequence("at", F.col("at") + F.col("depth") - 1)).alias("at")).distinct()
-    return covered.join(rows.select(*_PLACE, "raw"), _PLACE).select("doc", "mark", "raw").distinct()
+    return named.join(saved(firsts.drop("n"), "line-intervals"), ["depth", "a", "b"]).filter(
+        F.struct(*_PLACE) != F.col("first")).select(*_PLACE, "depth", F.col("depth").alias("lines"), "first")
+
+
+def _extended(runs: DataFrame, ranks: DataFrame, step: int) -> DataFrame:
+    """runs, longer by `step` lines where these agree with an earlier place too; ranks are those of the round of `step` lines."""
+    ahead = ranks.withColumnRenamed("at", "end")
+    tried = saved(runs.withColumn("end", F.col("at") + F.col("lines")).join(ahead, ["doc", "mark", "end"], "left").drop("end"), "line-runs")
+    open_ = tried.filter("rank is not null")
+    firsts = open_.select("lines", "first").distinct().select(
+        "lines", "first", "first.doc", "first.mark", (F.col("first.at") + F.col("lines")).alias("end")).join(ahead, ["doc", "mark", "end"])
+    places = open_.select("lines", "first", "rank", F.struct(*_PLACE).alias("place")).union(
+        firsts.select("lines", "first", "rank", F.col("first").alias("place")))
+    smaller = saved(places.groupBy("lines", "first", "rank").agg(F.min("place").alias("next"), F.count("*").alias("n")).filter(
+        "n > 1").drop("n"), "line-intervals")
+    longer = F.col("next") < F.struct(*_PLACE)
+    return tried.join(smaller, ["lines", "first", "rank"], "left").select(
+        *_PLACE, "depth", F.when(longer, F.col("lines") + step).otherwise(F.col("lines")).alias("lines"),
+        F.when(longer, F.col("next")).otherwise(F.col("first")).alias("first"))
+
+
+def _runs(rows: DataFrame) -> DataFrame:
+    rounds = _rounds(rows)
+    runs = _shortest(rows, rounds)
+    for j in reversed(range(len(rounds))):
+        runs = _extended(runs, rounds[j], 2**j)
+    return runs
+
+
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc, mark, at, depth, lines, first) of every place with a repeated run: its maximal repeated run has `lines` lines, of
+    which the first `depth` are enough to qualify, and begins at `first`, the earliest such place, too. Places count
+    the lines that are not blank."""
+    return _runs(_suffixes(docs, min_words))
+
+
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
+    """(doc, mark, raw): every line to remove, once."""
+    rows = _suffixes(docs, min_words)
+    ends = _runs(rows).select(*_PLACE, (F.col("at") + F.col("lines" if whole else "depth")).alias("end"))
+    reach = F.max("end").over(Window.partitionBy("doc", "mark").orderBy("at"))
+    return rows.join(ends, _PLACE, "left").withColumn("reach", reach).filter("reach > at").select("doc", "mark", "raw")
 
 
 def _with_removed(docs: DataFrame, keyed: DataFrame, min_words: int, whole: bool) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import duckdb
 import pytest
 
@@ -36,6 +38,26 @@ def test_op7_whole_runs(spark):
     assert plain < got and (10**6 + 1, 1) not in plain
 
 
+def test_op7_maximal_runs(spark):
+    """Every place's maximal repeated run, far longer than the ten lines that decide in the SQL, and the lines cut from it."""
+    rng = random.Random(5)
+    pool = ["\n".join(" ".join(rng.choice("abc") for _ in range(rng.randint(0, 4))) for _ in range(rng.randint(1, 25))) for _ in range(6)]
+    docs = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 3)))) for i in range(25)] + [(99, "\n".join(["a b"] * 20))]
+    first, wanted = {}, {}
+    for doc, text in docs:
+        lines = [x for x in text.split("\n") if x.split()]
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                earliest = first.setdefault(tuple(lines[a:b]), (doc, a))
+                if earliest != (doc, a) and len(" ".join(lines[a:b]).split()) >= line_dedup.MIN_WORDS:
+                    wanted[doc, a] = (wanted.get((doc, a), (b - a,))[0], b - a, earliest)
+    df = spark.createDataFrame([*docs, docs[3], (None, None), (None, "a")], "doc_id long, text string").repartition(3)
+    got = {(r.doc, r.at): (r.depth, r.lines, (r.first.doc, r.first.at)) for r in line_dedup.repeated_runs(df).collect()}
+    assert got == wanted and wanted[99, 1] == (5, 19, (99, 0)) and max(n for _, n, _ in wanted.values()) > 20
+    assert {(r.doc, r.raw) for r in line_dedup.repeated_lines(df, whole=True).collect()} == repeated(docs, line_dedup.MIN_WORDS)
+    assert line_dedup.repeated_runs(df.filter("doc_id is null")).count() == 0
+
+
 MIT = """Permission is hereby granted, free of charge, to any person
 obtaining a copy of this software, to deal in it without restriction.
 
